@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 # Characters counted as white space when labels are stripped.
 WHITESPACE = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
-# Numbers in the notations accepted for a price; anything else is missing.
-NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+# The notations accepted for a number; anything else is missing.
+_NUMBER = r"\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*"
+NUMBER_PATTERN = f"^{_NUMBER}$"
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -30,6 +31,12 @@ def to_number(column: Column) -> Column:
     return F.when(column.rlike(NUMBER_PATTERN), column.try_cast("double"))
 
 
+def all_numbers(*columns: str) -> Column:
+    """Every column holds a plain number; one match per row instead of one per column."""
+    pattern = "^" + r"\|".join([_NUMBER] * len(columns)) + "$"
+    return F.concat_ws("|", *columns).rlike(pattern)
+
+
 def to_date(column: Column, formats: Iterable[str]) -> Column:
     """Text to date by the first format that fits; NULL when none does."""
     return F.coalesce(*[F.try_to_date(strip(column), fmt) for fmt in formats])

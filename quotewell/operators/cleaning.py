@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from quotewell.config import PanelConfig
 from quotewell.functions.quantiles import exact_quantiles
 from quotewell.functions.scalars import (
+    all_numbers,
     equals_ignoring_case,
     normalise_name,
     round_half_up,
@@ -28,21 +30,26 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_name(name) for name in df.columns])
 
 
+def _lacks(df: DataFrame, column: str, step: str) -> bool:
+    """Whether an optional step has to be skipped for want of its column; says so if it has."""
+    if column in df.columns:
+        return False
+    warnings.warn(f"no column {column!r}: {step} skipped", stacklevel=3)
+    return True
+
+
 def parse_date_column(df: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Text dates to DATE; rows whose date cannot be read are kept with NULL."""
-    require_columns(df, [cfg.date])
+    if _lacks(df, cfg.date, "date parsing"):
+        return df
     return df.withColumn(cfg.date, to_date(F.col(cfg.date), cfg.date_formats))
 
 
-def numeric_prices(df: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Text prices to DOUBLE, unreadable text to NULL."""
-    require_columns(df, cfg.price_columns)
-    return df.withColumns({name: to_number(F.col(name)) for name in cfg.price_columns})
-
-
 def coerce_prices(df: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Numeric prices; a row with any unreadable price is dropped."""
-    return numeric_prices(df, cfg).na.drop(subset=cfg.price_columns)
+    """Text prices to DOUBLE; a row with any unreadable price is dropped."""
+    require_columns(df, cfg.price_columns)
+    numeric = df.withColumns({name: to_number(F.col(name)) for name in cfg.price_columns})
+    return numeric.na.drop(subset=cfg.price_columns)
 
 
 def price_rules(cfg: PanelConfig) -> Column:
@@ -57,11 +64,19 @@ def price_rules(cfg: PanelConfig) -> Column:
 
 
 def drop_invalid_prices(df: DataFrame, cfg: PanelConfig) -> DataFrame:
-    return numeric_prices(df, cfg).where(price_rules(cfg))
+    """Numeric prices of the rows that have three readable prices and keep the price rules."""
+    require_columns(df, cfg.price_columns)
+    readable = df.where(all_numbers(*cfg.price_columns))
+    numeric = readable.withColumns(
+        {name: F.col(name).try_cast("double") for name in cfg.price_columns}
+    )
+    return numeric.where(price_rules(cfg))
 
 
 def drop_category(df: DataFrame, column: str, label: str) -> DataFrame:
     """Drop one category in any letter case; rows without a category stay."""
+    if _lacks(df, column, f"dropping {label}"):
+        return df
     return df.where(~equals_ignoring_case(F.col(column), label))
 
 
@@ -85,6 +100,8 @@ def canonicalise_labels(
     ``aliases`` is a dictionary, or for long lists a staged table (alias, canonical) with
     unique aliases, which Catalyst broadcasts only when its files are small.
     """
+    if _lacks(df, column, "label merging"):
+        return df
     stripped = strip(F.col(column))
     if not isinstance(aliases, DataFrame):
         if not aliases:
@@ -163,5 +180,31 @@ def valid_quotes(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
 def clean_quotes(raw: DataFrame, cfg: PanelConfig, stages: Stages) -> DataFrame:
     """The whole cleaning pipeline; the wide rows are filtered in place and never shuffled."""
     valid = valid_quotes(raw, cfg)
-    bounds = price_bounds(valid, cfg, stages)
-    return remove_outliers(valid, bounds, cfg).drop(cfg.low_price, cfg.high_price)
+    if not _lacks(valid, cfg.commodity, "outlier removal"):
+        valid = remove_outliers(valid, price_bounds(valid, cfg, stages), cfg)
+    return valid.drop(cfg.low_price, cfg.high_price)
+
+
+def cleaning_steps(raw: DataFrame, bounds: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """Rows left after each cleaning step, counted in one pass: (step, n)."""
+    rows = canonicalise_labels(normalise_headers(raw), cfg.state, cfg.state_aliases)
+    numeric = rows.select(
+        cfg.commodity, *[to_number(F.col(name)).alias(name) for name in cfg.price_columns]
+    ).join(bounds.select(cfg.commodity, "lower_bound", "upper_bound"), cfg.commodity, "left")
+    valid = price_rules(cfg)
+    kept = valid & ~equals_ignoring_case(F.col(cfg.commodity), cfg.dropped_commodity)
+    within = F.col(cfg.price).between(F.col("lower_bound"), F.col("upper_bound"))
+    steps = {
+        "raw": F.lit(True),
+        "price rules": valid,
+        "category drop": kept,
+        "outlier removal": kept & within,
+    }
+    counts = numeric.agg(*[F.count_if(left).alias(step) for step, left in steps.items()])
+    return counts.select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(step).alias("step"), F.col(step).alias("n")) for step in steps]
+            )
+        )
+    )

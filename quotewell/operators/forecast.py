@@ -43,6 +43,19 @@ def naive_forecast(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
     )
 
 
+def naive_summary(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """One row: rows dropped for want of a prior report, and the size of the naive split."""
+    dropped = panel.agg(F.count_if(F.col("lag_1").isNull())).scalar()
+    return naive_split(panel, cfg).agg(
+        dropped.alias("n_dropped"),
+        F.count("*").alias("n"),
+        F.min(cfg.date).alias("date_min"),
+        F.max(cfg.date).alias("date_max"),
+        F.count_if(F.col("is_train")).alias("n_train"),
+        F.count_if(~F.col("is_train")).alias("n_test"),
+    )
+
+
 def residual_target(split: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Change against the prior report; rows without one are dropped after the split."""
     return with_prior_report(split).withColumn("residual", F.col(cfg.price) - F.col("lag_1"))
@@ -121,22 +134,25 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def split_gains(spark: SparkSession, path: str) -> DataFrame:
+def split_gains(spark: SparkSession, model: PipelineModel, path: str) -> DataFrame:
     """One row per split of a saved model: feature position and reduction of squared error.
 
     Saved trees are tables of nodes; a node's gain is per row, so it is multiplied by the
     node's rows to be comparable between nodes.
     """
-    nodes = spark.read.parquet(f"{path}/stages/*GBTRegressor*/data")
+    trees = len(model.stages) - 1
+    nodes = spark.read.parquet(f"{path}/stages/{trees}_{model.stages[trees].uid}/data")
     return nodes.where("nodeData.split.featureIndex >= 0").select(
         F.col("nodeData.split.featureIndex").alias("position"),
         (F.col("nodeData.gain") * F.col("nodeData.rawCount")).alias("gain"),
     )
 
 
-def feature_importance(spark: SparkSession, path: str, features: Sequence[str]) -> DataFrame:
+def feature_importance(
+    spark: SparkSession, model: PipelineModel, path: str, features: Sequence[str]
+) -> DataFrame:
     """Average gain per split of every feature, also as percent of the sum; unused ones are 0."""
-    gains = split_gains(spark, path).groupBy("position").agg(F.avg("gain").alias("gain"))
+    gains = split_gains(spark, model, path).groupBy("position").agg(F.avg("gain").alias("gain"))
     listed = spark.createDataFrame(
         list(enumerate(features)), "position int, feature string"
     )

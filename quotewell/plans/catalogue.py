@@ -16,7 +16,9 @@ from quotewell.config import TreeParams
 from quotewell.functions import scalars
 from quotewell.functions.scalars import rounded
 from quotewell.operators import charts, cleaning, forecast, metrics, panel, profile, season, split
-from quotewell.plans.pipeline import DIRECT, NAIVE, RESIDUAL, Pipeline
+from quotewell.plans import training
+from quotewell.plans.pipeline import Pipeline
+from quotewell.plans.training import DIRECT, NAIVE, RESIDUAL
 from quotewell.sources import runlog, tables
 from quotewell.sources.fixtures import FIXTURE_CONFIG, raw_quotes
 from quotewell.sources.schemas import BASELINE_PREDICTIONS, CLEANED, FEATURES
@@ -142,6 +144,11 @@ def clean_pipeline(p: Pipeline) -> DataFrame:
     return cleaning.clean_quotes(p.raw, CFG, p.stages)
 
 
+@query
+def cleaning_steps(p: Pipeline) -> DataFrame:
+    return cleaning.cleaning_steps(p.raw, p.bounds, CFG)
+
+
 # ---- profiles ----
 
 
@@ -420,6 +427,11 @@ def naive_forecast(p: Pipeline) -> DataFrame:
     return rounded(forecast.naive_forecast(p.features, CFG), 4, CFG.price, "predicted")
 
 
+@query
+def naive_summary(p: Pipeline) -> DataFrame:
+    return forecast.naive_summary(p.features, CFG)
+
+
 @query
 def naive_metrics(p: Pipeline) -> DataFrame:
     return metrics.forecast_metrics(
@@ -565,7 +577,9 @@ def io_roundtrip(p: Pipeline) -> DataFrame:
     cleaned = tables.read_table(spark, f"{folder}/cleaned", CLEANED, "csv")
 
     tables.write_table(p.features, f"{folder}/features", partition_by=[CFG.commodity])
-    features = tables.read_table(spark, f"{folder}/features", FEATURES)
+    features = tables.read_table(
+        spark, f"{folder}/features", FEATURES, partitioned_by=[CFG.commodity]
+    )
 
     predictions = forecast.naive_forecast(features, CFG)
     tables.write_baseline_predictions(predictions, f"{folder}/baseline")
@@ -586,20 +600,20 @@ def io_roundtrip(p: Pipeline) -> DataFrame:
 
 @query
 def gbt_direct(p: Pipeline) -> DataFrame:
-    return tables.direct_prediction_columns(p.direct_predictions(), CFG)
+    return tables.direct_prediction_columns(p.predictions(DIRECT), CFG)
 
 
 @query
 def gbt_residual(p: Pipeline) -> DataFrame:
     return _with_keys(
-        p.residual_predictions(), CFG.price, "lag_1", "predicted_residual", "predicted"
+        p.predictions(RESIDUAL), CFG.price, "lag_1", "predicted_residual", "predicted"
     )
 
 
 @query
 def gbt_comparison(p: Pipeline) -> DataFrame:
     scores = metrics.forecast_metrics(
-        p.direct_predictions(), CFG.price, {NAIVE: "lag_1", DIRECT: "predicted"},
+        p.predictions(DIRECT), CFG.price, {NAIVE: "lag_1", DIRECT: "predicted"},
         CFG.commodity, CFG.scope,
     )
     return metrics.compare_models(scores, NAIVE, DIRECT)
@@ -612,23 +626,41 @@ def gbt_three_way(p: Pipeline) -> DataFrame:
 
 @query
 def gbt_importance(p: Pipeline) -> DataFrame:
-    return (
-        p.importance(DIRECT).withColumn("model", F.lit(DIRECT))
-        .unionByName(p.importance(RESIDUAL).withColumn("model", F.lit(RESIDUAL)))
-    )
+    return p.importance(DIRECT).unionByName(p.importance(RESIDUAL))
 
 
 @query
 def gbt_save_load(p: Pipeline) -> DataFrame:
-    """Test rows with the prediction of the fitted model and of the one read back from disk."""
-    trained = p.trained(DIRECT)
-    reloaded = forecast.load_model(trained.path)
-    scored = forecast.predict(reloaded, p.direct_predictions(), trained.features, CFG)
-    return _with_keys(
-        scored, "predicted", F.col(f"predicted_{CFG.price}").alias("predicted_after_load")
+    """Test rows, and whether fitted model and model read back from disk predict the same."""
+    reloaded = training.load(DIRECT, CFG, p.trained(DIRECT).path)
+    scored = training.score(reloaded, p.predictions(DIRECT), CFG, "predicted_after_load")
+    same = F.col("predicted") == F.col("predicted_after_load")
+    return rounded(
+        _with_keys(scored, CFG.price, same.alias("same_prediction")), 4, CFG.price
     )
 
 
+@query
+def gbt_reconstruction(p: Pipeline) -> DataFrame:
+    """Test rows of the residual model, and whether price and change add up."""
+    adds_up = F.col("predicted") == F.col("lag_1") + F.col("predicted_residual")
+    return rounded(
+        _with_keys(p.predictions(RESIDUAL), "lag_1", adds_up.alias("adds_up")), 4, "lag_1"
+    )
+
+
+@query
+def gbt_cross_check(p: Pipeline) -> DataFrame:
+    """The direct model's logged errors beside those on the rows all models share."""
+    path = p.stages.path("run-log")
+    own_rows = metrics.forecast_metrics(
+        p.predictions(DIRECT), CFG.price, {DIRECT: "predicted"}, CFG.commodity, CFG.scope
+    )
+    p.log_run(DIRECT, own_rows, path)
+    logged = runlog.logged_metrics(runlog.read_run_records(p.spark, path))
+    return metrics.cross_check(p.three_way_metrics(), logged, DIRECT)
+
+
 @query
 def run_log_roundtrip(p: Pipeline) -> DataFrame:
     """Run records of both models, read back as one row per logged value."""

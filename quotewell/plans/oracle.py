@@ -303,6 +303,16 @@ ORACLE: dict[str, str] = {
     "iqr_filter": VIEWS + """
         SELECT market_name, commodity, modal_price, price_date FROM quotes""",
     "clean_pipeline": VIEWS + "SELECT * FROM quotes",
+    "cleaning_steps": VIEWS + """
+        , numbers AS (
+          SELECT commodity, try_cast(min_price AS double) AS mn,
+                 try_cast(max_price AS double) AS mx, try_cast(modal_price AS double) AS md
+          FROM quotes_raw)
+        SELECT 'raw' AS step, count(*) AS n FROM quotes_raw
+        UNION ALL SELECT 'price rules', count(*) FROM numbers
+          WHERE mn <= mx AND md >= mn AND md <= mx AND mn > 0 AND mx > 0 AND md > 0
+        UNION ALL SELECT 'category drop', count(*) FROM quotes_valid
+        UNION ALL SELECT 'outlier removal', count(*) FROM quotes""",
     "category_counts": VIEWS + """
         SELECT 'commodity' AS column_name, commodity AS label, count(*) AS n
         FROM quotes_raw GROUP BY commodity
@@ -566,6 +576,12 @@ ORACLE |= {
         WHERE train_mean IS NOT NULL AND test_mean IS NOT NULL""",
     "naive_forecast": NAIVE + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "modal_price", "predicted")} FROM naive""",
+    "naive_summary": NAIVE + """
+        SELECT (SELECT count(*) FROM features WHERE lag_1 IS NULL) AS n_dropped,
+               count(*) AS n, min(price_date) AS date_min, max(price_date) AS date_max,
+               count(*) FILTER (WHERE is_train) AS n_train,
+               count(*) FILTER (WHERE NOT is_train) AS n_test
+        FROM split""",
     "naive_metrics": NAIVE + errors("naive", "predicted", "BASELINE"),
     "metrics_improvement": SPLIT + three_models("split") + f"""
         SELECT b.group_label, m.n, {", ".join(
@@ -640,6 +656,12 @@ ORACLE |= {
         SELECT commodity, {r("least(min(modal_price), min(predicted))", 4)} AS low,
                {r("greatest(max(modal_price), max(predicted))", 4)} AS high
         FROM naive GROUP BY commodity""",
+    "gbt_save_load": SPLIT + f"""
+        SELECT {_DATE_KEYS}, {rounded(4, "modal_price")}, true AS same_prediction
+        FROM split WHERE NOT is_train""",
+    "gbt_reconstruction": RESIDUAL + f"""
+        SELECT {_DATE_KEYS}, {rounded(4, "lag_1")}, true AS adds_up
+        FROM residuals WHERE NOT is_train""",
     "io_roundtrip": NAIVE + f"""
         SELECT 'raw csv' AS stage, count(*) AS n,
                cast(sum(floor(try_cast(modal_price AS double) * 100 + 0.5e0)) AS bigint) AS cents

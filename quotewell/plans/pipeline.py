@@ -1,33 +1,19 @@
-"""The stages of the forecasting pipeline over one source, each written once."""
+"""The stages of the forecasting pipeline over one source, each written once per session."""
 
 from __future__ import annotations
 
 import threading
-from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.config import EXCLUDED_FEATURES, PanelConfig, TreeParams
-from quotewell.operators import cleaning, forecast, metrics, panel
-from quotewell.sources.runlog import append_run_record, metric_map, run_record
+from quotewell.config import PanelConfig, TreeParams
+from quotewell.operators import cleaning, forecast, panel
+from quotewell.plans import training
+from quotewell.plans.training import DIRECT, RESIDUAL, TrainedModel
 from quotewell.sources.stages import Stages
 
-NAIVE, DIRECT, RESIDUAL = "BASELINE", "DIRECT", "RESIDUAL"
-
-
-@dataclass(frozen=True)
-class TrainedModel:
-    """A fitted model with where it is saved and what it was fitted on."""
-
-    model: PipelineModel
-    path: str
-    features: Sequence[str]
-    params: TreeParams
-
 
 class Pipeline:
     """Raw quotes -> cleaned quotes -> feature panel -> split -> models.
@@ -92,98 +78,32 @@ class Pipeline:
         """The rows all models are compared on: those of the split that have a prior report."""
         return forecast.residual_target(self.split, self.cfg)
 
-    def _train(self, kind: str) -> TrainedModel:
-        cfg = self.cfg
-        if kind == DIRECT:
-            rows, target, features = self.split, cfg.price, list(cfg.model_features)
-        else:
-            rows, target = self.residual_split, "residual"
-            features = forecast.residual_features(cfg.model_features)
-        rows = self.stages.write(
-            rows.where("is_train").select(target, *features), f"train-{kind}"
-        )
-        model = forecast.fit_trees(
-            rows, target, features, cfg, self.trees, prediction=f"predicted_{target}"
-        )
-        path = self.stages.path(f"model-{kind}")
-        forecast.save_model(model, path)
-        return TrainedModel(model, path, features, self.trees)
-
     def trained(self, kind: str) -> TrainedModel:
         """The direct or the residual model, fitted and saved on first use."""
         with self._lock:
             if kind not in self._models:
-                self._models[kind] = self._train(kind)
+                self._models[kind] = training.train(
+                    self.split, kind, self.cfg, self.trees, self.stages,
+                    self.stages.path(f"model-{kind}"),
+                )
             return self._models[kind]
 
-    def direct_predictions(self, rows: DataFrame | None = None) -> DataFrame:
-        """Test rows with the direct model's ``predicted`` price."""
-        trained = self.trained(DIRECT)
-        rows = self.split.where(~F.col("is_train")) if rows is None else rows
-        scored = forecast.predict(trained.model, rows, trained.features, self.cfg)
-        return scored.withColumnRenamed(f"predicted_{self.cfg.price}", "predicted")
-
-    def residual_predictions(self) -> DataFrame:
-        """Test rows with the predicted change and the price reconstructed from it."""
-        trained = self.trained(RESIDUAL)
-        rows = self.residual_split.where(~F.col("is_train"))
-        scored = forecast.predict(trained.model, rows, trained.features, self.cfg)
-        return forecast.reconstruct_price(scored, "predicted_residual")
+    def predictions(self, kind: str) -> DataFrame:
+        """The model's test rows with its ``predicted`` price."""
+        rows = training.test_rows(self.split, kind, self.cfg)
+        return training.score(self.trained(kind), rows, self.cfg, "predicted")
 
     def three_way_metrics(self) -> DataFrame:
-        """Errors of all three models on the same rows. The direct model is loaded from disk."""
-        direct = self.trained(DIRECT)
-        rows = self.residual_predictions().withColumnRenamed("predicted", "residual_price")
-        scored = forecast.predict(
-            forecast.load_model(direct.path), rows, direct.features, self.cfg
-        )
-        return metrics.forecast_metrics(
-            scored,
-            self.cfg.price,
-            {
-                NAIVE: "lag_1",
-                DIRECT: f"predicted_{self.cfg.price}",
-                RESIDUAL: "residual_price",
-            },
-            self.cfg.commodity,
-            self.cfg.scope,
-        )
+        """Errors of all three models on the same rows; the direct model is read from disk."""
+        direct = training.load(DIRECT, self.cfg, self.trained(DIRECT).path)
+        return training.three_way_metrics(self.split, self.trained(RESIDUAL), direct, self.cfg)
 
     def importance(self, kind: str) -> DataFrame:
-        trained = self.trained(kind)
-        return forecast.feature_importance(self.spark, trained.path, trained.features)
+        return training.importance(self.spark, self.trained(kind)).withColumn(
+            "model", F.lit(kind)
+        )
 
     def log_run(self, kind: str, scores: DataFrame, log_path: str) -> None:
-        """Append the run record of one trained model; ``scores`` are its metric rows."""
-        trained = self.trained(kind)
-        rows = self.split if kind == DIRECT else self.residual_split
-        sizes = rows.agg(
-            F.count_if(F.col("is_train")).alias("n_train"),
-            F.count_if(~F.col("is_train")).alias("n_test"),
-        )
-        left_out = [name for name in self.cfg.model_features if name not in trained.features]
-        columns = {
-            "model": kind,
-            "model_path": trained.path,
-            "cutoff": cutoff_text(self.split, self.cfg),
-            "n_train": sizes.select("n_train").scalar(),
-            "n_test": sizes.select("n_test").scalar(),
-            "model_features": list(trained.features),
-            "excluded_features": [*left_out, *EXCLUDED_FEATURES],
-        }
-        if kind == RESIDUAL:
-            columns["target"] = f"residual = {self.cfg.price} - lag_1"
-            columns["inference"] = "predicted_price = lag_1 + predicted_residual"
-        record = run_record(
-            metric_map(scores, kind),
-            self.importance(kind),
-            params=trained.params.as_dict(),
-            columns=columns,
+        training.log_run(
+            self.trained(kind), self.split, scores, self.cfg, self.trees, log_path
         )
-        append_run_record(record, log_path)
-
-
-def cutoff_text(split: DataFrame, cfg: PanelConfig):
-    from quotewell.operators.split import cutoff
-
-    return cutoff(split, cfg).select(F.col("cutoff_date").cast("string")).scalar()

@@ -47,10 +47,14 @@ class SchemaError(ValueError):
     """A table lacks a column or has it with another type."""
 
 
+class MissingColumnError(SchemaError, KeyError):
+    """A table lacks a column that a step cannot do without."""
+
+
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     missing = [name for name in columns if name not in df.columns]
     if missing:
-        raise SchemaError(f"missing columns: {missing}")
+        raise MissingColumnError(f"missing columns: {missing}")
     return df
 
 

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewell.config import PanelConfig
-from quotewell.sources.schemas import BASELINE_PREDICTIONS, DIRECT_PREDICTIONS, require_schema
+from quotewell.sources.schemas import (
+    BASELINE_PREDICTIONS,
+    DIRECT_PREDICTIONS,
+    require_columns,
+    require_schema,
+)
 
 # Cell texts that mean "missing" in a quote file.
 MISSING_TEXTS = (
@@ -32,20 +38,27 @@ def read_raw_quotes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    partitioned_by: Sequence[str] = (),
 ) -> DataFrame:
     """Re-read a stage output with its declared types; fails if a column has another type.
 
-    Parquet files carry their types, which must equal the declared ones. In a CSV every value
-    is parsed as declared and the read fails on a value that does not fit, so a date can never
-    silently stay text.
+    Parquet files carry their types, which must equal the declared ones; only the columns that
+    are folder names take the declared type. In a CSV every value is parsed as declared and
+    the read fails on a value that does not fit, so a date can never silently stay text.
     """
     if fmt == "csv":
         reader = spark.read.schema(schema).options(
             header="true", mode="FAILFAST", enforceSchema="false", **_KEEP_BLANKS
         )
         return reader.csv(path)
-    return require_schema(spark.read.format(fmt).load(path), schema).select(*schema.names)
+    stored = spark.read.format(fmt).load(path)
+    in_files = T.StructType([c for c in schema if c.name not in partitioned_by])
+    require_schema(require_columns(stored, schema.names), in_files)
+    return spark.read.schema(schema).format(fmt).load(path).select(*schema.names)
 
 
 def write_table(
@@ -88,7 +101,9 @@ def saved_row_count(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> int | None:
     """Rows of a saved table for information only; None when there is no such table."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    return read_table(spark, path, schema, fmt).count()
+    try:
+        return read_table(spark, path, schema, fmt).count()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
