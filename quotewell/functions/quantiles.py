@@ -35,25 +35,28 @@ def exact_quantiles(
     """One row per group: ``by``, then one column per entry of ``quantiles``.
 
     Linear interpolation between the two neighbouring order statistics. Rows with a NULL value
-    or a NULL group key do not count.
+    or a NULL group key do not count; a group without values has no row.
     """
+    keys = list(by)
+    if not keys:
+        keys, df = ["_all"], df.withColumn("_all", F.lit(0))
     present = F.col(value).isNotNull()
-    for key in by:
+    for key in keys:
         present = present & F.col(key).isNotNull()
     counts = stages.write(
         df.where(present)
-        .groupBy(*by, F.col(value).cast("double").alias("_value"))
+        .groupBy(*keys, F.col(value).cast("double").alias("_value"))
         .agg(F.count("*").alias("_n")),
         "value-counts",
     )
     if counts.count() <= direct_limit:
-        packed = counts.groupBy(*by).agg(
+        packed = counts.groupBy(*keys).agg(
             F.percentile("_value", list(quantiles.values()), F.col("_n")).alias("_q")
         )
         return packed.select(
             *by, *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
         )
-    return _by_rank(counts, quantiles, list(by), stages, buckets)
+    return _by_rank(counts, quantiles, keys, stages, buckets).select(*by, *quantiles)
 
 
 def _position(prob: float) -> Column:
@@ -61,12 +64,8 @@ def _position(prob: float) -> Column:
 
 
 def _by_rank(
-    counts: DataFrame, quantiles: dict[str, float], by: list[str], stages: Stages, buckets: int
+    counts: DataFrame, quantiles: dict[str, float], keys: list[str], stages: Stages, buckets: int
 ) -> DataFrame:
-    keys = by or ["_all"]
-    if not by:
-        counts = counts.withColumn("_all", F.lit(0))
-
     # Cut points with equally many distinct values between them. The sketch may differ from
     # run to run, so it is written down; any cut points give the same exact answer.
     cuts = stages.write(
@@ -130,4 +129,4 @@ def _by_rank(
         columns.append(
             F.when(low == high, low).otherwise(low * (1 - share) + high * share).alias(name)
         )
-    return picked.groupBy(*keys).agg(*columns).select(*by, *quantiles)
+    return picked.groupBy(*keys).agg(*columns)

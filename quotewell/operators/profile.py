@@ -67,20 +67,22 @@ def date_span(df: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 def describe(df: DataFrame, value: str, by: Sequence[str], stages: Stages) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of one column per group."""
-    keys = list(by) or ["_all"]
-    rows = df if by else df.withColumn("_all", F.lit(0))
-    rows = rows.select(*keys, value)
-    moments = rows.groupBy(*keys).agg(
+    rows = df.select(*by, value)
+    moments = rows.groupBy(*by).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    quartiles = exact_quantiles(rows, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, keys, stages)
-    return moments.join(quartiles, keys, "left").select(
-        *by, "n", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles = exact_quantiles(rows, value, probs, by, stages)
+    if by:
+        summary = moments.join(quartiles, list(by), "left")
+    else:
+        row = quartiles.select(F.struct(*probs).alias("row")).scalar()
+        summary = moments.withColumn("row", row).select("*", "row.*")
+    return summary.select(*by, "n", "mean", "std", "min", *probs, "max")
 
 
 def coverage(quotes: DataFrame, cfg: PanelConfig) -> DataFrame:

@@ -256,7 +256,6 @@ def findings(
     split: DataFrame, cfg: PanelConfig, features: Sequence[str], allowed: Sequence[str]
 ) -> DataFrame:
     """The audits' outcome as six rows (check_id, ok, detail)."""
-    shifts = mean_shift(split, cfg).agg(F.max(F.abs("shift_pct"))).scalar()
     nulls = sum((F.col(name).isNull().cast("bigint") for name in features), F.lit(0))
     summary = split.agg(
         F.count_if(~F.coalesce(F.col(cfg.commodity).isin(*allowed), F.lit(False))).alias("stray"),
@@ -264,21 +263,30 @@ def findings(
     )
     audit = split_audit(split, cfg)
     cards = category_cardinality(split, cfg.categorical_features)
+    summary = summary.withColumns(
+        {
+            "audit": audit.select(F.struct("*")).scalar(),
+            "cards": cards.agg(
+                F.map_from_entries(F.collect_list(F.struct("name", "cardinality")))
+            ).scalar(),
+            "limit": cutoff(split, cfg).select(F.col("cutoff_date").cast("string")).scalar(),
+            "shift": mean_shift(split, cfg).agg(F.max(F.abs("shift_pct"))).scalar(),
+        }
+    )
 
     def card(name: str) -> Column:
-        return cards.where(F.col("name") == name).select("cardinality").scalar()
+        return F.col("cards")[name].cast("string")
 
     def of_audit(name: str) -> Column:
-        return audit.select(name).scalar()
+        return F.col(f"audit.{name}")
 
     target_used = cfg.price in features
-    limit = cutoff(split, cfg).select("cutoff_date").scalar()
     rows = {
         "F1 scope": (F.col("stray") == 0, F.concat(F.lit("rows out of scope "), F.col("stray").cast("string"))),
         "F2 split": (
             of_audit("ok"),
             F.concat_ws(
-                " ", F.lit("cutoff"), limit.cast("string"),
+                " ", F.lit("cutoff"), F.col("limit"),
                 F.lit("train"), of_audit("n_train").cast("string"),
                 F.lit("test"), of_audit("n_test").cast("string"),
             ),
@@ -298,7 +306,7 @@ def findings(
                 *[
                     part
                     for name in cfg.categorical_features
-                    for part in (F.lit(name), card(name).cast("string"))
+                    for part in (F.lit(name), card(name))
                 ],
             ),
         ),
@@ -306,7 +314,7 @@ def findings(
             F.lit(True),
             F.concat(
                 F.lit("largest mean shift in tenths of a percent "),
-                F.floor(round_half_up(shifts, 1) * 10 + 0.5).cast("string"),
+                F.floor(round_half_up(F.col("shift"), 1) * 10 + 0.5).cast("string"),
             ),
         ),
     }

@@ -48,14 +48,20 @@ _lock = threading.Lock()
 def pipeline_for(spark: SparkSession, folder: str) -> Pipeline:
     """The pipeline over one folder; its stage tables are shared by the session's queries.
 
-    The derived raw quotes stand for the source file. They are written evenly sized, whatever
-    the row groups of the tables they come from.
+    The derived raw quotes stand for the source file. Only when they come from fewer files
+    than there are cores are they spread evenly, so that the cleaning has work for every core;
+    a large source is never shuffled.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    context = spark.sparkContext
+    key = (context.applicationId, folder)
     with _lock:
         if key not in _pipelines:
             stages = Stages(spark)
-            raw = stages.write(raw_quotes(spark, folder).hint("rebalance"), "raw")
+            raw = raw_quotes(spark, folder)
+            source = spark.read.parquet(f"{folder}/lineitem.parquet")
+            if len(source.inputFiles()) < context.defaultParallelism:
+                raw = raw.hint("rebalance")
+            raw = stages.write(raw, "raw")
             _pipelines[key] = Pipeline(spark, raw, CFG, TREES, stages)
         return _pipelines[key]
 
@@ -564,7 +570,7 @@ def io_roundtrip(p: Pipeline) -> DataFrame:
     spark, folder = p.spark, p.stages.path("files")
 
     def totals(name: str, df: DataFrame, price: str) -> DataFrame:
-        cents = F.floor(F.col(price) * 100 + 0.5)
+        cents = F.floor(scalars.round_half_up(F.col(price), 2) * 100 + 0.5)
         return df.agg(F.count("*").alias("n"), F.sum(cents).alias("cents")).select(
             F.lit(name).alias("stage"), "n", "cents"
         )

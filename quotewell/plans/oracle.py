@@ -664,18 +664,18 @@ ORACLE |= {
         FROM residuals WHERE NOT is_train""",
     "io_roundtrip": NAIVE + f"""
         SELECT 'raw csv' AS stage, count(*) AS n,
-               cast(sum(floor(try_cast(modal_price AS double) * 100 + 0.5e0)) AS bigint) AS cents
+               cast(sum(floor({r("try_cast(modal_price AS double)", 2)} * 100 + 0.5e0)) AS bigint) AS cents
         FROM quotes_raw WHERE try_cast(modal_price AS double) IS NOT NULL
           AND try_cast(min_price AS double) IS NOT NULL
           AND try_cast(max_price AS double) IS NOT NULL
         UNION ALL SELECT 'cleaned csv', count(*),
-               cast(sum(floor(modal_price * 100 + 0.5e0)) AS bigint) FROM quotes
+               cast(sum(floor({r("modal_price", 2)} * 100 + 0.5e0)) AS bigint) FROM quotes
         UNION ALL SELECT 'baseline predictions', count(*),
-               cast(sum(floor(predicted * 100 + 0.5e0)) AS bigint) FROM naive
+               cast(sum(floor({r("predicted", 2)} * 100 + 0.5e0)) AS bigint) FROM naive
         UNION ALL SELECT 'renamed predictions', count(*),
-               cast(sum(floor(predicted * 100 + 0.5e0)) AS bigint) FROM naive
+               cast(sum(floor({r("predicted", 2)} * 100 + 0.5e0)) AS bigint) FROM naive
         UNION ALL SELECT 'feature panel', count(*),
-               cast(sum(floor(lag_1 * 100 + 0.5e0)) AS bigint) FROM features""",
+               cast(sum(floor({r("lag_1", 2)} * 100 + 0.5e0)) AS bigint) FROM features""",
 }
 
 
