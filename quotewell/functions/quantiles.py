@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from quotewell.sources.stages import Stages
 
 # Distinct (group, value) pairs up to which the built-in aggregate is used.
-DIRECT_LIMIT = 2_000_000
-BUCKETS = 256
+DIRECT_LIMIT = 1_000_000
+# Buckets are numbered in two digits of this base, so that a value is compared with two short
+# lists of cut points instead of one long one.
+BASE = 16
 
 
 def exact_quantiles(
@@ -30,7 +32,7 @@ def exact_quantiles(
     stages: Stages,
     *,
     direct_limit: int = DIRECT_LIMIT,
-    buckets: int = BUCKETS,
+    base: int = BASE,
 ) -> DataFrame:
     """One row per group: ``by``, then one column per entry of ``quantiles``.
 
@@ -56,30 +58,41 @@ def exact_quantiles(
         return packed.select(
             *by, *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
         )
-    return _by_rank(counts, quantiles, keys, stages, buckets).select(*by, *quantiles)
+    return _by_rank(counts, quantiles, keys, stages, base).select(*by, *quantiles)
 
 
 def _position(prob: float) -> Column:
     return F.lit(prob) * (F.col("_total") - 1)
 
 
+def _cuts_below(cuts: Column) -> Column:
+    return F.size(F.filter(cuts, lambda cut: cut < F.col("_value")))
+
+
 def _by_rank(
-    counts: DataFrame, quantiles: dict[str, float], keys: list[str], stages: Stages, buckets: int
+    counts: DataFrame, quantiles: dict[str, float], keys: list[str], stages: Stages, base: int
 ) -> DataFrame:
     # Cut points with equally many distinct values between them. The sketch may differ from
     # run to run, so it is written down; any cut points give the same exact answer.
+    buckets = base * base
+    sketch = F.percentile_approx(
+        "_value", [i / buckets for i in range(1, buckets)], 50 * buckets
+    )
     cuts = stages.write(
-        counts.groupBy(*keys).agg(
-            F.sum("_n").alias("_total"),
-            F.percentile_approx(
-                "_value", [i / buckets for i in range(1, buckets)], 50 * buckets
-            ).alias("_cuts"),
-        ),
+        counts.groupBy(*keys)
+        .agg(F.sum("_n").alias("_total"), sketch.alias("_fine"))
+        .withColumn("_coarse", F.array(*[F.col("_fine")[i * base - 1] for i in range(1, base)])),
         "cut-points",
     )
-    located = counts.join(cuts, keys).select(
-        *keys, "_value", "_n", "_total",
-        F.size(F.filter("_cuts", lambda cut: cut < F.col("_value"))).alias("_bucket"),
+    first_digit = _cuts_below(F.col("_coarse"))
+    section = F.slice("_fine", F.col("_digit") * base + 1, F.lit(base - 1))
+    located = (
+        counts.join(cuts, keys)
+        .withColumn("_digit", first_digit)
+        .select(
+            *keys, "_value", "_n", "_total",
+            (F.col("_digit") * base + _cuts_below(section)).alias("_bucket"),
+        )
     )
 
     # Running totals over at most ``buckets`` rows per group.

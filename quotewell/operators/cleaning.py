@@ -187,8 +187,7 @@ def clean_quotes(raw: DataFrame, cfg: PanelConfig, stages: Stages) -> DataFrame:
 
 def cleaning_steps(raw: DataFrame, bounds: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Rows left after each cleaning step, counted in one pass: (step, n)."""
-    rows = canonicalise_labels(normalise_headers(raw), cfg.state, cfg.state_aliases)
-    numeric = rows.select(
+    numeric = normalise_headers(raw).select(
         cfg.commodity, *[to_number(F.col(name)).alias(name) for name in cfg.price_columns]
     ).join(bounds.select(cfg.commodity, "lower_bound", "upper_bound"), cfg.commodity, "left")
     valid = price_rules(cfg)

@@ -70,6 +70,11 @@ def add_reference_ratio(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
     return panel.withColumn("price_vs_msp", ratio)
 
 
+def in_report_order(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """Sorted for reading. The windows bring their own order and do not need it."""
+    return panel.orderBy(*cfg.keys, cfg.date)
+
+
 def feature_panel(quotes: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Cleaned quotes to the 17-column panel: one aggregation, then one sort for all windows."""
     panel = daily_panel(quotes, cfg)

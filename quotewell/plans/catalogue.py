@@ -258,7 +258,8 @@ def gap_verdict(p: Pipeline) -> DataFrame:
 
 @query
 def daily_panel(p: Pipeline) -> DataFrame:
-    return rounded(panel.daily_panel(p.cleaned, CFG), 4, CFG.price)
+    averaged = panel.in_report_order(panel.daily_panel(p.cleaned, CFG), CFG)
+    return rounded(averaged, 4, CFG.price)
 
 
 @query
