@@ -17,6 +17,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--folder", required=True, help="folder of the stage tables")
     parser.add_argument("--raw", help="raw quote CSV, for the steps clean and gaps")
     parser.add_argument("--trees", type=int, default=TreeParams().n_trees)
+    parser.add_argument("--reports", choices=["parquet", "csv"], default="parquet")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("quotewell").getOrCreate()
@@ -26,9 +27,10 @@ def main(arguments: list[str] | None = None) -> None:
     for step in STEPS if "all" in options.steps else options.steps:
         for name, report in STEPS[step](workspace).items():
             path = workspace.path(f"reports/{step}/{name}")
-            write_table(report, path)
+            write_table(report, path, options.reports)
             print(f"{step} / {name}")
-            spark.read.parquet(path).show(30, truncate=False)
+            written = spark.read.format(options.reports).option("header", "true").load(path)
+            written.show(30, truncate=False)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotewell.config import PanelConfig
 from quotewell.functions.quantiles import exact_quantiles
@@ -39,10 +40,16 @@ def _lacks(df: DataFrame, column: str, step: str) -> bool:
 
 
 def parse_date_column(df: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Text dates to DATE; rows whose date cannot be read are kept with NULL."""
+    """Text dates to DATE; rows whose date cannot be read are kept with NULL.
+
+    A column that is a date or a timestamp already is only brought to DATE.
+    """
     if _lacks(df, cfg.date, "date parsing"):
         return df
-    return df.withColumn(cfg.date, to_date(F.col(cfg.date), cfg.date_formats))
+    date = F.col(cfg.date)
+    if isinstance(df.schema[cfg.date].dataType, T.StringType):
+        return df.withColumn(cfg.date, to_date(date, cfg.date_formats))
+    return df.withColumn(cfg.date, date.cast("date"))
 
 
 def coerce_prices(df: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -73,6 +80,13 @@ def drop_invalid_prices(df: DataFrame, cfg: PanelConfig) -> DataFrame:
     return numeric.where(price_rules(cfg))
 
 
+def blank_to_missing(df: DataFrame, column: str) -> DataFrame:
+    """Empty text to NULL, as it is in a quote file. A table is not stored by an empty label."""
+    if _lacks(df, column, "marking blank labels"):
+        return df
+    return df.withColumn(column, F.nullif(F.col(column), F.lit("")))
+
+
 def drop_category(df: DataFrame, column: str, label: str) -> DataFrame:
     """Drop one category in any letter case; rows without a category stay."""
     if _lacks(df, column, f"dropping {label}"):
@@ -173,7 +187,8 @@ def valid_quotes(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Every cleaning step before the outlier filter, as one projection and filter."""
     dated = parse_date_column(normalise_headers(raw), cfg)
     priced = drop_invalid_prices(dated, cfg)
-    kept = drop_category(priced, cfg.commodity, cfg.dropped_commodity)
+    labelled = blank_to_missing(priced, cfg.commodity)
+    kept = drop_category(labelled, cfg.commodity, cfg.dropped_commodity)
     return canonicalise_labels(kept, cfg.state, cfg.state_aliases)
 
 

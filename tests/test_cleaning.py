@@ -45,6 +45,13 @@ def test_dates_are_coerced_and_bad_ones_kept_as_missing(spark):
     ]
 
 
+def test_typed_dates_are_kept(spark):
+    noon = datetime.datetime(2024, 2, 29, 12, 30)
+    for value, kind in ((noon.date(), "date"), (noon, "timestamp"), (noon, "timestamp_ntz")):
+        df = spark.createDataFrame([(value,)], f"price_date {kind}")
+        assert cleaning.parse_date_column(df, CFG).first()[0] == noon.date()
+
+
 PRICE_ROWS = [
     ("1", "3", "2"),  # fine
     ("2", "2", "2"),  # every boundary equal
@@ -101,6 +108,12 @@ def test_category_drop_ignores_case_and_keeps_missing(spark):
     assert {r[0] for r in kept.collect()} == {"Rice Bran", None}
 
 
+def test_blank_category_is_missing(spark):
+    df = spark.createDataFrame([("",), ("Onion",), (None,)], "commodity string")
+    marked = cleaning.blank_to_missing(df, "commodity")
+    assert [r[0] for r in marked.collect()] == [None, "Onion", None]
+
+
 LABELS = [(" Punjab",), ("Tamilnadu",), ("Tamilnadu \t",), ("Gao",), ("Kerala",), (None,), ("",)]
 CANONICAL = ["Punjab", "Tamil Nadu", "Tamil Nadu", "Goa", "Kerala", None, ""]
 

@@ -7,6 +7,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from quotewell.__main__ import main
 from quotewell.plans.steps import Workspace
@@ -101,9 +102,7 @@ def test_stages_are_written_once_below_the_shared_folder(spark):
 
 def test_steps_hand_over_through_tables(spark, raw_csv, tmp_path):
     folder = f"{tmp_path}/ws"
-    main(["clean", "granularity", "features", "verify", "gaps", "audit", "seasonality",
-          "baseline", "residual", "direct", "residual", "charts",
-          "--folder", folder, "--raw", raw_csv, "--trees", "2"])
+    main(["all", "--folder", folder, "--raw", raw_csv, "--trees", "2"])
     ws = Workspace(spark, folder)
     cleaned = ws.cleaned()
     assert schema_problems(cleaned, CLEANED) == []
@@ -114,8 +113,19 @@ def test_steps_hand_over_through_tables(spark, raw_csv, tmp_path):
     assert ws.features().count() == cleaned.count() > 800  # one quote per group and date
     report = spark.read.parquet(f"{folder}/reports/residual/comparison")
     assert report.where("mae_direct is null").count() == 0
-    assert spark.read.json(f"{folder}/run_log").count() == 3
+    assert spark.read.json(f"{folder}/run_log").count() == 2
     steps = {r.step: r.n for r in spark.read.parquet(f"{folder}/reports/clean/steps").collect()}
     assert steps["outlier removal"] == cleaned.count()
     checked = spark.read.parquet(f"{folder}/reports/residual/cross_check").collect()
     assert all(r.logged is not None for r in checked)
+
+
+def test_a_step_without_its_input_fails_and_reports_can_be_csv(spark, raw_csv, tmp_path):
+    with pytest.raises(ValueError, match="raw quote file"):
+        main(["clean", "--folder", f"{tmp_path}/a"])
+    with pytest.raises(AnalysisException):
+        main(["features", "--folder", f"{tmp_path}/a"])
+    main(["clean", "granularity", "--folder", f"{tmp_path}/b", "--raw", raw_csv, "--reports", "csv"])
+    verdict = spark.read.csv(f"{tmp_path}/b/reports/granularity/verdict", header=True)
+    assert {r.granularity for r in verdict.collect()} == {"market_commodity", "state_commodity"}
+    assert Workspace(spark, f"{tmp_path}/b").saved_model("DIRECT") is None
