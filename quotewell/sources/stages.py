@@ -13,7 +13,8 @@ import threading
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 
 _local_folder: list[str] = []
 
@@ -36,6 +37,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
 
 
+def folder_writer(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
+    """A writer with one folder per value of the given columns.
+
+    Rows are gathered by folder first, so that not every task writes a file to every folder;
+    adaptive execution splits the gathered rows of a hot folder into evenly sized files.
+    """
+    if not partition_by:
+        return df.write
+    gathered = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    return gathered.write.partitionBy(*partition_by)
+
+
 class Stages:
     """Named Parquet tables below one folder, each written once."""
 
@@ -52,7 +65,7 @@ class Stages:
     def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write ``df`` to a new folder and return the table as read back from there."""
         path = self.path(name)
-        df.write.partitionBy(*partition_by).parquet(path)
+        folder_writer(df, partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def once(

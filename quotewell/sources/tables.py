@@ -16,6 +16,7 @@ from quotewell.sources.schemas import (
     require_columns,
     require_schema,
 )
+from quotewell.sources.stages import folder_writer
 
 # Cell texts that mean "missing" in a quote file.
 MISSING_TEXTS = (
@@ -65,7 +66,7 @@ def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
     """Overwrite ``path`` with ``df``. CSV files get a header row."""
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    writer = folder_writer(df, partition_by).mode("overwrite")
     if fmt == "csv":
         writer.options(header="true", **_KEEP_BLANKS).csv(path)
     else:

@@ -44,3 +44,12 @@ def test_scope_filter_skips_folders_and_reads_few_columns(pipeline):
     text = plan(forecast.model_split(pipeline.features, CFG).select("price_date", "is_train"))
     assert "PartitionFilters: [commodity" in text
     assert "ReadSchema: struct<price_date:date>" in text
+
+
+def test_folders_get_few_files(spark, pipeline):
+    stages = pipeline.stages
+    scattered = pipeline.features.repartition(8)
+    written = stages.write(scattered, "few-files", partition_by=[CFG.commodity])
+    folders = written.select(CFG.commodity).distinct().count()
+    assert len(written.inputFiles()) <= folders + 4  # not folders times tasks
+    assert written.count() == scattered.count()
