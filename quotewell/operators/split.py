@@ -282,7 +282,10 @@ def findings(
 
     target_used = cfg.price in features
     rows = {
-        "F1 scope": (F.col("stray") == 0, F.concat(F.lit("rows out of scope "), F.col("stray").cast("string"))),
+        "F1 scope": (
+            F.col("stray") == 0,
+            F.concat(F.lit("rows out of scope "), F.col("stray").cast("string")),
+        ),
         "F2 split": (
             of_audit("ok"),
             F.concat_ws(

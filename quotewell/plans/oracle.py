@@ -664,7 +664,8 @@ ORACLE |= {
         FROM residuals WHERE NOT is_train""",
     "io_roundtrip": NAIVE + f"""
         SELECT 'raw csv' AS stage, count(*) AS n,
-               cast(sum(floor({r("try_cast(modal_price AS double)", 2)} * 100 + 0.5e0)) AS bigint) AS cents
+               cast(sum(floor({r("try_cast(modal_price AS double)", 2)} * 100 + 0.5e0))
+                    AS bigint) AS cents
         FROM quotes_raw WHERE try_cast(modal_price AS double) IS NOT NULL
           AND try_cast(min_price AS double) IS NOT NULL
           AND try_cast(max_price AS double) IS NOT NULL
