@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -27,4 +28,16 @@ def local_session(name: str, cpus: int | None = None) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_checkpoints(spark)
     return spark
+
+
+def use_local_checkpoints(spark: SparkSession) -> None:
+    """Name a folder for stage tables if a session of one machine has none.
+
+    For tests and benches. A cluster has to name a folder that its executors share.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stages-"))

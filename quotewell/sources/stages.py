@@ -8,7 +8,6 @@ holds, so that a join against a staged table is broadcast only when its files ar
 from __future__ import annotations
 
 import itertools
-import tempfile
 import threading
 import uuid
 from collections.abc import Callable, Sequence
@@ -16,19 +15,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-_local_folder: list[str] = []
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``, or else the session's checkpoint folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="quotewell-"))
-    return _local_folder[0]
+    return folder.rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -76,3 +70,9 @@ class Stages:
             if name not in self._tables:
                 self._tables[name] = self.write(build(), name, partition_by)
             return self._tables[name]
+
+    def close(self) -> None:
+        """Remove the stage tables. Frames that read them cannot be evaluated afterwards."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._tables.clear()
