@@ -4,9 +4,9 @@ A rank file maps byte strings to ids. The library works on characters, so every
 to a printable character first, and every split of a token into two known parts becomes a merge,
 in rank order. Decoding reverses the byte table.
 
-Words repeat, so each task remembers the ids of the chunks it has seen. A chunk is a run of white
-space with the run of other characters after it. The pre-token pattern never joins characters
-across such a boundary and never looks past it, so chunks can be encoded apart.
+Words repeat, so each Python worker remembers the ids of the chunks it has seen. The pre-token
+pattern never joins a character with white space after it, nor a letter with what is no letter,
+and never looks back, so the text can be cut at such places and the chunks encoded apart.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ import base64
 import codecs
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,17 @@ from quotewell.llm.common import free_name, whole_text
 
 # The characters that Unicode calls White_Space: the library's \s.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-REMEMBERED = 200_000  # chunks per task
-LONGEST_REMEMBERED = 48  # characters of a chunk
+# All letters below U+0250. Texts with later characters are cut at white space only.
+LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+LATER = re.compile("[^\0-\u024f]")
+WORDS = re.compile(f"[{SPACE}]*[^{SPACE}{LETTER}]*[{LETTER}]*")
+CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]*")
+REMEMBERED = 300_000  # chunks per generation; a worker holds two generations
+LONGEST_REMEMBERED = 64  # characters of a chunk
+
+
+def chunks_of(text: str) -> list[str]:
+    return (CHUNKS if LATER.search(text) else WORDS).findall(text)
 
 
 def byte_characters() -> list[str]:
@@ -86,50 +94,70 @@ def load_tokenizer(path: str, pattern: str | None = None):
     return tokenizer_from_ranks(read_ranks(path), pattern)
 
 
+class Remembered(dict):
+    """Chunk to the result of ``make``, for the chunks used last.
+
+    Two generations: a chunk in use moves into the younger one, and the older one is forgotten
+    when the younger one is full.
+    """
+
+    def __init__(self, make: Callable[[str], object]):
+        super().__init__()
+        self.make = make
+        self.old: dict[str, object] = {}
+
+    def __missing__(self, chunk: str):
+        found = self.old.get(chunk)
+        if found is None:
+            found = self.make(chunk)
+        if len(chunk) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = found
+        return found
+
+
 class ChunkEncoder:
     """Ids, and offsets if asked for, of whole texts."""
 
-    def __init__(self, tokenizer, offsets: bool = False):
+    def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.offsets = offsets
-        self.known: dict[str, tuple] = {}
-
-    def _new(self, chunks: list[str]) -> dict[str, tuple]:
-        if self.offsets:
-            made = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-            return {c: (tuple(e.ids), tuple(e.offsets)) for c, e in zip(chunks, made, strict=True)}
-        made = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return {c: tuple(e.ids) for c, e in zip(chunks, made, strict=True)}
-
-    def _lookup(self, chunks: list[str]) -> list[tuple]:
-        known = self.known
-        found = list(map(known.get, chunks))
-        if None in found:
-            new = self._new(list({c for c, f in zip(chunks, found, strict=True) if f is None}))
-            found = [new[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-            known.update((c, f) for c, f in new.items() if len(c) <= LONGEST_REMEMBERED)
-        return found
+        self.packed = Remembered(self._pack)
+        self.paired = Remembered(self._pair)
+
+    def _pack(self, chunk: str) -> bytes:
+        made = self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0]
+        return array("i", made.ids).tobytes()
+
+    def _pair(self, chunk: str) -> tuple[list[int], list[tuple[int, int]]]:
+        made = self.tokenizer.encode(chunk, add_special_tokens=False)
+        return made.ids, made.offsets
 
     def ids(self, text: str) -> np.ndarray:
-        found = self._lookup(CHUNK.findall(text))
-        return np.fromiter(chain.from_iterable(found), np.int32)
+        known = self.packed
+        return np.frombuffer(b"".join([known[c] for c in chunks_of(text)]), np.int32)
 
     def ids_and_offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids and one (start, end) row of code points per id.
 
         Ids that hold parts of one character share that character's offsets.
         """
-        chunks = CHUNK.findall(text)
         ids, spans, at = [], [], 0
-        for chunk, (own, offsets) in zip(chunks, self._lookup(chunks), strict=True):
+        for chunk in chunks_of(text):
+            own, offsets = self.paired[chunk]
             ids.extend(own)
             spans.extend((at + start, at + end) for start, end in offsets)
             at += len(chunk)
         return np.array(ids, np.int32), np.array(spans, np.int32).reshape(-1, 2)
 
 
+@lru_cache(maxsize=4)
+def chunk_encoder(path: str, pattern: str | None = None) -> ChunkEncoder:
+    """One encoder per Python worker, which outlives the tasks it serves."""
+    return ChunkEncoder(load_tokenizer(path, pattern))
+
+
 def int_lists(arrays: Iterable[np.ndarray]) -> pa.ListArray:
     arrays = list(arrays)
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
@@ -178,7 +206,7 @@ def encode(
         fields.append(T.StructField(offsets_col, T.ArrayType(pair, False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(load_tokenizer(path, pattern), bool(offsets_col))
+        encoder = chunk_encoder(path, pattern)
         for batch in batches:
             for part in slices(batch, len(others)):
                 texts = part.column(len(others)).to_pylist()

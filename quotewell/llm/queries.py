@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import bpe, chat, exact_dedup
+from quotewell.llm import bpe, chat, exact_dedup, packing, quality, secret_scan, toxicity
+from quotewell.llm.labelled import fit_sample, fold
 from quotewell.sources.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +74,49 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),
         "escape_level",
     )
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 0
+    sample = fit_sample(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out, Stages(spark),
+                        fit_rows=toxicity.FIT_ROWS)
+    scored = toxicity.score(docs, toxicity.fit(sample))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.array_join(spans, ",").alias("toxic_spans"),
+    )
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_of(F.col("spans"), kind).alias(f"n_{kind}")
+          for kind in secret_scan.KINDS],
+        sha256_hex(secret_scan.span_text(base)).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 3) == 1
+    sample = fit_sample(docs, table(spark, sf_dir, "labels"), "quality", ~held_out, Stages(spark))
+    return quality.score(docs, quality.fit(sample)).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
