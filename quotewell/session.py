@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def local_session(name: str, cpus: int | None = None) -> SparkSession:
     """A local session with one shuffle partition per core and adaptive execution.
@@ -41,3 +45,15 @@ def use_local_checkpoints(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named and context.master.startswith("local"):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stages-"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the session's executors, once, for their Python workers."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = os.path.join(tempfile.mkdtemp(prefix="package-"), package.name)
+        spark.sparkContext.addPyFile(
+            shutil.make_archive(target, "zip", package.parent, package.name)
+        )
+        _shipped.add(application)
