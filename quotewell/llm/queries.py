@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import bpe, chat, exact_dedup, packing, quality, secret_scan, toxicity
+from quotewell.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    minhash,
+    packing,
+    quality,
+    secret_scan,
+    substring_dedup,
+    toxicity,
+)
 from quotewell.llm.labelled import fit_sample, fold
 from quotewell.sources.stages import Stages
 
@@ -120,3 +130,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, Stages(spark), shingle=2)
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.substring_dedup(
+        docs, Stages(spark), digest=True, kept_col="kept_sha256"
+    )
