@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quotewell.llm import (
     bpe,
     chat,
+    embedding_dedup,
     exact_dedup,
     minhash,
     packing,
@@ -144,3 +145,8 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(
         docs, Stages(spark), digest=True, kept_col="kept_sha256"
     )
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), Stages(spark))
