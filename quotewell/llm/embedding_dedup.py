@@ -84,11 +84,22 @@ def _units(column) -> list[np.ndarray]:
     return [r / np.linalg.norm(r) for r in scaled]
 
 
-def cosine(left: list[float], right: list[float]) -> float:
-    """In double precision; scaled first, so that squares neither overflow nor vanish."""
-    x, y = np.array(left, np.float64), np.array(right, np.float64)
-    x, y = x / np.abs(x).max(), y / np.abs(y).max()
-    return float(x @ y / math.sqrt(float(x @ x) * float(y @ y)))
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    """Vectors of one length, each divided by its largest component, so that no square overflows."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    rows = rows.reshape(len(column), -1)
+    return rows / np.abs(rows).max(1, keepdims=True)
+
+
+def cosines(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
+    """Cosine of each pair in double precision; the vectors of a pair have the same length."""
+    out = np.empty(len(left))
+    lengths = left.value_lengths().to_numpy()
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        x, y = _matrix(left.take(pa.array(at))), _matrix(right.take(pa.array(at)))
+        out[at] = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
+    return out
 
 
 def _bucket_pairs(rows: pa.Table, table: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,10 +229,7 @@ def near_vectors(
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                cosine(x, y) >= least for x, y in
-                zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
+            keep = cosines(batch.column(2), batch.column(3)) >= least
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     first = classes.select(F.col("rep").alias("a"), F.col("vector").alias("x"))
