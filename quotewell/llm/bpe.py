@@ -35,6 +35,7 @@ LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 LATER = re.compile("[^\0-\u024f]")
 WORDS = re.compile(f"[{SPACE}]*[^{SPACE}{LETTER}]*[{LETTER}]*")
 CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]*")
+SINGLE = re.compile(f" ?[{LETTER}]+\\Z")
 REMEMBERED = 300_000  # chunks per generation; a worker holds two generations
 LONGEST_REMEMBERED = 64  # characters of a chunk
 
@@ -125,8 +126,16 @@ class ChunkEncoder:
         self.tokenizer = tokenizer
         self.packed = Remembered(self._pack)
         self.paired = Remembered(self._pair)
+        self.model = tokenizer.model
+        self.visible = dict(enumerate(byte_characters()))
+        # Is a space with letters one pre-token? Then such a chunk goes to the merges at once.
+        pieces = tokenizer.pre_tokenizer.pre_tokenize_str(" ab") if tokenizer.pre_tokenizer else []
+        self.words_are_whole = [p for p, _ in pieces] == [f"{self.visible[32]}ab"]
 
     def _pack(self, chunk: str) -> bytes:
+        if self.words_are_whole and SINGLE.match(chunk):
+            mapped = chunk.encode().decode("latin-1").translate(self.visible)
+            return array("i", [token.id for token in self.model.tokenize(mapped)]).tobytes()
         made = self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0]
         return array("i", made.ids).tobytes()
 
