@@ -24,7 +24,7 @@ BUCKETS = 1 << 18
 STEM_SIZES = (3, 4, 5, 6, 7)
 FIT_ROWS = 3_000
 LEAST_LOG_ODDS = 1.0  # of a word's document share in toxic against clean documents
-ERRORS = 3.0  # standard errors that the log odds have to lie above that
+LEAST_G = 25.0  # likelihood ratio statistic against equal shares (five standard errors)
 EPOCHS = 30
 BATCH_TOKENS = 1 << 20
 REMEMBERED = 200_000
@@ -165,7 +165,10 @@ def _marked_words(table: dict[str, int], docs: list[np.ndarray], labels: np.ndar
             (toxic if label else clean)[seen] += 1
     n_toxic, n_clean = labels.sum() + 1, len(labels) - labels.sum() + 1
     odds = np.log(toxic / n_toxic) - np.log(clean / n_clean)
-    found = odds - ERRORS * np.sqrt(1 / toxic + 1 / clean) >= LEAST_LOG_ODDS
+    share = n_toxic / (n_toxic + n_clean)
+    both = toxic + clean
+    g = 2 * (toxic * np.log(toxic / (both * share)) + clean * np.log(clean / (both * (1 - share))))
+    found = (odds >= LEAST_LOG_ODDS) & (g >= LEAST_G)
     return np.array([found[p].any() for p in parts], bool)
 
 
