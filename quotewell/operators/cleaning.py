@@ -23,9 +23,6 @@ from quotewell.functions.scalars import (
 from quotewell.sources.schemas import require_columns
 from quotewell.sources.stages import Stages
 
-# Aliases beyond this many go through a join instead of a map literal in the plan.
-MAP_LITERAL_LIMIT = 200
-
 
 def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_name(name) for name in df.columns])
@@ -111,8 +108,8 @@ def canonicalise_labels(
 ) -> DataFrame:
     """Strip labels and merge known spellings; unknown labels pass, no row is added or lost.
 
-    ``aliases`` is a dictionary, or for long lists a staged table (alias, canonical) with
-    unique aliases, which Catalyst broadcasts only when its files are small.
+    ``aliases`` is a dictionary, which becomes part of the plan, or a staged table (alias,
+    canonical) with unique aliases, which Catalyst broadcasts only when its files are small.
     """
     if _lacks(df, column, "label merging"):
         return df
@@ -120,16 +117,8 @@ def canonicalise_labels(
     if not isinstance(aliases, DataFrame):
         if not aliases:
             return df.withColumn(column, stripped)
-        if len(aliases) <= MAP_LITERAL_LIMIT:
-            entries = F.create_map(
-                *[F.lit(text) for pair in aliases.items() for text in pair]
-            )
-            return df.withColumn(
-                column, F.coalesce(F.try_element_at(entries, stripped), stripped)
-            )
-        aliases = df.sparkSession.createDataFrame(
-            list(aliases.items()), "alias string, canonical string"
-        )
+        entries = F.create_map(*[F.lit(text) for pair in aliases.items() for text in pair])
+        return df.withColumn(column, F.coalesce(F.try_element_at(entries, stripped), stripped))
     return (
         df.withColumn(column, stripped)
         .join(aliases, F.col(column) == F.col("alias"), "left")

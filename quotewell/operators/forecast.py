@@ -19,10 +19,6 @@ from quotewell.sources.stages import ensure_checkpoint_dir
 # be missing (prices are positive, deviations are not negative), so trees can split it off.
 MISSING = -1.0
 
-# Labels of one categorical feature beyond this many are refused: the dictionary is held by the
-# driver, and every label needs a histogram bin in every tree node.
-MAX_LABELS = 10_000
-
 
 def model_split(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
     """The modelling scope with its temporal split; shared by audits and models."""
@@ -103,9 +99,6 @@ def fit_trees(
         handleInvalid="keep",
         stringOrderType="alphabetAsc",
     )
-    for name in categorical:
-        if train.select(name).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
-            raise ValueError(f"{name} has more than {MAX_LABELS} labels")
     codes = indexer.fit(train)
     largest = max((len(labels) + 1 for labels in codes.labelsArray), default=0)
     trees = GBTRegressor(

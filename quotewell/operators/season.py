@@ -29,16 +29,18 @@ def year_month_means(split: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 
 def test_month_means(split: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Mean test price per commodity and window month; months without rows are there as NULL."""
-    means = (
-        split.where(~F.col("is_train"))
-        .groupBy(cfg.commodity)
-        .agg(
-            *[
-                F.avg(F.when(F.month(cfg.date) == month, F.col(cfg.price))).alias(str(month))
-                for month in cfg.season_months
-            ]
-        )
+    """Mean test price per commodity and window month; months without test rows are there as NULL.
+
+    Commodities that have no test rows at all are there with NULL in every month.
+    """
+    tested = ~F.col("is_train")
+    means = split.groupBy(cfg.commodity).agg(
+        *[
+            F.avg(
+                F.when(tested & (F.month(cfg.date) == month), F.col(cfg.price))
+            ).alias(str(month))
+            for month in cfg.season_months
+        ]
     )
     rows = [
         F.struct(

@@ -48,9 +48,7 @@ _lock = threading.Lock()
 def pipeline_for(spark: SparkSession, folder: str) -> Pipeline:
     """The pipeline over one folder; its stage tables are shared by the session's queries.
 
-    The derived raw quotes stand for the source file. Only when they come from fewer files
-    than there are cores are they spread evenly, so that the cleaning has work for every core;
-    a large source is never shuffled.
+    The derived raw quotes stand for the source file.
     """
     context = spark.sparkContext
     key = (context.applicationId, folder)
@@ -58,9 +56,6 @@ def pipeline_for(spark: SparkSession, folder: str) -> Pipeline:
         if key not in _pipelines:
             stages = Stages(spark)
             raw = raw_quotes(spark, folder)
-            source = spark.read.parquet(f"{folder}/lineitem.parquet")
-            if len(source.inputFiles()) < context.defaultParallelism:
-                raw = raw.hint("rebalance")
             raw = stages.write(raw, "raw")
             _pipelines[key] = Pipeline(spark, raw, CFG, TREES, stages)
         return _pipelines[key]

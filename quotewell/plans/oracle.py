@@ -613,7 +613,7 @@ ORACLE |= {
         FROM split WHERE is_train GROUP BY commodity, year(price_date)""",
     "seasonal_test_months": SPLIT + f""", spine AS (
           SELECT commodity, cast(unnest(range(1, 7)) AS integer) AS month
-          FROM (SELECT DISTINCT commodity FROM split WHERE NOT is_train)),
+          FROM (SELECT DISTINCT commodity FROM split)),
         means AS (SELECT commodity, month(price_date) AS month, avg(modal_price) AS mean_price
                   FROM split WHERE NOT is_train GROUP BY ALL)
         SELECT s.commodity, s.month,

@@ -24,12 +24,19 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Blanks are kept, and a quote within a quoted cell is doubled.
+_KEEP_BLANKS = {
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"',
+}
 
 
 def read_raw_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """Raw quote CSV with a header row. Every column is text, in the header's own spelling."""
-    raw = spark.read.options(header="true", **_KEEP_BLANKS).csv(path)
+    """Raw quote CSV with a header row. Every column is text, in the header's own spelling.
+
+    Files of one folder must have the same header; reading one that differs fails. Cells hold no
+    line breaks, so that large files can be split.
+    """
+    raw = spark.read.options(header="true", enforceSchema="false", **_KEEP_BLANKS).csv(path)
     return raw.select(
         *[
             F.when(~F.col(f"`{name}`").isin(*MISSING_TEXTS), F.col(f"`{name}`")).alias(name)

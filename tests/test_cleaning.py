@@ -123,7 +123,7 @@ def test_labels_are_merged_and_rows_kept(spark, stages, how):
     df = spark.createDataFrame(LABELS, "state string")
     aliases = dict(CFG.state_aliases)
     if how == "long":
-        aliases |= {f"alias {i}": f"label {i}" for i in range(cleaning.MAP_LITERAL_LIMIT)}
+        aliases |= {f"alias {i}": f"label {i}" for i in range(200)}
     if how == "table":
         aliases = stages.write(
             spark.createDataFrame(list(aliases.items()), "alias string, canonical string"),

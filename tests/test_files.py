@@ -129,3 +129,18 @@ def test_a_step_without_its_input_fails_and_reports_can_be_csv(spark, raw_csv, t
     verdict = spark.read.csv(f"{tmp_path}/b/reports/granularity/verdict", header=True)
     assert {r.granularity for r in verdict.collect()} == {"market_commodity", "state_commodity"}
     assert Workspace(spark, f"{tmp_path}/b").saved_model("DIRECT") is None
+
+
+def test_doubled_quotes_and_commas_in_cells(spark, tmp_path):
+    path = tmp_path / "quoted.csv"
+    path.write_text('State,Modal Price,Min Price\n"He said ""x"", y",6,2\n')
+    assert [tuple(r) for r in tables.read_raw_quotes(spark, str(path)).collect()] == [
+        ('He said "x", y', "6", "2")
+    ]
+
+
+def test_files_with_another_column_order_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("State,Modal Price\nGoa,1\n")
+    (tmp_path / "b.csv").write_text("Modal Price,State\n1,Goa\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_raw_quotes(spark, str(tmp_path)).collect()
