@@ -3,9 +3,9 @@
 ``percentile`` keeps every distinct value of a group in one task's hash map. With a handful of
 commodities and a very long table that map has no bound. Here the distinct values are counted
 first (combined before the shuffle, spread by value, so a hot commodity or a hot price costs
-nothing extra). If the counted table is small, ``percentile`` with frequencies finishes the
-job. Otherwise the wanted ranks are located in two steps: equal-depth buckets per group give
-the bucket of each rank, then only the few buckets that hold a wanted rank are sorted.
+nothing extra) and written in ranges of (group, value), each row with the number of its range.
+Running totals over the ranges tell which of them hold a wanted rank, and only those are sorted.
+There is one way for every size: the number of ranges follows ``spark.sql.shuffle.partitions``.
 """
 
 from __future__ import annotations
@@ -17,11 +17,24 @@ from pyspark.sql import functions as F
 
 from quotewell.sources.stages import Stages
 
-# Distinct (group, value) pairs up to which the built-in aggregate is used.
-DIRECT_LIMIT = 1_000_000
-# Buckets are numbered in two digits of this base, so that a value is compared with two short
-# lists of cut points instead of one long one.
-BASE = 16
+
+def value_counts(df: DataFrame, value: str, keys: Sequence[str], stages: Stages) -> DataFrame:
+    """A stage table of the distinct (group, value) pairs: ``keys``, ``_value``, ``_n`` (rows)
+    and ``_range``, which rises with the pair.
+
+    Rows with a NULL value or a NULL group key do not count.
+    """
+    present = F.col(value).isNotNull()
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    counts = (
+        df.where(present)
+        .groupBy(*keys, F.col(value).cast("double").alias("_value"))
+        .agg(F.count("*").alias("_n"))
+        .repartitionByRange(*keys, "_value")
+        .withColumn("_range", F.spark_partition_id())
+    )
+    return stages.write(counts, "value-counts")
 
 
 def exact_quantiles(
@@ -30,9 +43,6 @@ def exact_quantiles(
     quantiles: dict[str, float],
     by: Sequence[str],
     stages: Stages,
-    *,
-    direct_limit: int = DIRECT_LIMIT,
-    base: int = BASE,
 ) -> DataFrame:
     """One row per group: ``by``, then one column per entry of ``quantiles``.
 
@@ -42,90 +52,46 @@ def exact_quantiles(
     keys = list(by)
     if not keys:
         keys, df = ["_all"], df.withColumn("_all", F.lit(0))
-    present = F.col(value).isNotNull()
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    counts = stages.write(
-        df.where(present)
-        .groupBy(*keys, F.col(value).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n")),
-        "value-counts",
-    )
-    if counts.count() <= direct_limit:
-        packed = counts.groupBy(*keys).agg(
-            F.percentile("_value", list(quantiles.values()), F.col("_n")).alias("_q")
-        )
-        return packed.select(
-            *by, *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
-        )
-    return _by_rank(counts, quantiles, keys, stages, base).select(*by, *quantiles)
+    counts = value_counts(df, value, keys, stages)
+    return _by_rank(counts, quantiles, keys).select(*by, *quantiles)
 
 
 def _position(prob: float) -> Column:
     return F.lit(prob) * (F.col("_total") - 1)
 
 
-def _cuts_below(cuts: Column) -> Column:
-    return F.size(F.filter(cuts, lambda cut: cut < F.col("_value")))
-
-
-def _by_rank(
-    counts: DataFrame, quantiles: dict[str, float], keys: list[str], stages: Stages, base: int
-) -> DataFrame:
-    # Cut points with equally many distinct values between them. The sketch may differ from
-    # run to run, so it is written down; any cut points give the same exact answer.
-    buckets = base * base
-    sketch = F.percentile_approx(
-        "_value", [i / buckets for i in range(1, buckets)], 50 * buckets
-    )
-    cuts = stages.write(
-        counts.groupBy(*keys)
-        .agg(F.sum("_n").alias("_total"), sketch.alias("_fine"))
-        .withColumn("_coarse", F.array(*[F.col("_fine")[i * base - 1] for i in range(1, base)])),
-        "cut-points",
-    )
-    first_digit = _cuts_below(F.col("_coarse"))
-    section = F.slice("_fine", F.col("_digit") * base + 1, F.lit(base - 1))
-    located = (
-        counts.join(cuts, keys)
-        .withColumn("_digit", first_digit)
-        .select(
-            *keys, "_value", "_n", "_total",
-            (F.col("_digit") * base + _cuts_below(section)).alias("_bucket"),
-        )
-    )
-
-    # Running totals over at most ``buckets`` rows per group.
-    totals = located.groupBy(*keys, "_bucket").agg(
-        F.sum("_n").alias("_n"), F.max("_total").alias("_total")
-    )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def _by_rank(counts: DataFrame, quantiles: dict[str, float], keys: list[str]) -> DataFrame:
+    # Running totals over one row per group and range.
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranks = F.array_distinct(
         F.array(*[side(_position(p)) for p in quantiles.values() for side in (F.floor, F.ceil)])
     )
     wanted = (
-        totals.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        counts.groupBy(*keys, "_range")
+        .agg(F.sum("_n").alias("_held"))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_held").over(earlier), F.lit(0)),
+                "_total": F.sum("_held").over(group),
+            }
+        )
         .withColumn(
             "_ranks",
             F.filter(
                 ranks,
                 lambda rank: (rank >= F.col("_before"))
-                & (rank < F.col("_before") + F.col("_n")),
+                & (rank < F.col("_before") + F.col("_held")),
             ),
         )
         .where(F.size("_ranks") > 0)
-        .select(*keys, "_bucket", "_before", "_ranks")
+        .drop("_held")
     )
-    wanted = stages.write(wanted, "wanted-ranks")
 
-    # Sort only the buckets that hold a wanted rank.
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_value")
+    # Sort only the ranges that hold a wanted rank.
+    within = Window.partitionBy(*keys, "_range").orderBy("_value")
     picked = (
-        located.join(wanted, [*keys, "_bucket"])
+        counts.join(wanted, [*keys, "_range"])
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
         .withColumn("_rank", F.explode("_ranks"))
         .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))

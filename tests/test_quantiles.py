@@ -2,8 +2,9 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quotewell.functions.quantiles import exact_quantiles
+from quotewell.functions.quantiles import exact_quantiles, value_counts
 
 PROBS = {"p0": 0.0, "p10": 0.1, "q1": 0.25, "median": 0.5, "q3": 0.75, "p999": 0.999, "p100": 1.0}
 
@@ -18,15 +19,26 @@ def _rows(seed: int) -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("base", [2, 16])
-@pytest.mark.parametrize("direct_limit", [0, 10**9])
-def test_equals_brute_force(spark, stages, direct_limit, base):
-    rows = _rows(base)
+@pytest.fixture(params=[1, 7, 64])
+def ranges(request, spark):
+    """So many ranges, however small they are."""
+    settings = {
+        "spark.sql.shuffle.partitions": str(request.param),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    yield request.param
+    for name, setting in before.items():
+        spark.conf.set(name, setting)
+
+
+def test_equals_brute_force(spark, stages, ranges):
+    rows = _rows(ranges)
     noise = [("hot", None), (None, 3.0), ("only missing", None)]
     df = spark.createDataFrame(rows + noise, "k string, x double").repartition(5)
-    result = exact_quantiles(
-        df, "x", PROBS, ["k"], stages, direct_limit=direct_limit, base=base
-    )
+    result = exact_quantiles(df, "x", PROBS, ["k"], stages)
     found = {r.k: tuple(r)[1:] for r in result.collect()}
     assert set(found) == {"hot", "narrow", "negative", "single", "pair"}
     for key, values in found.items():
@@ -34,21 +46,28 @@ def test_equals_brute_force(spark, stages, direct_limit, base):
         assert np.allclose(values, expected, rtol=1e-12, atol=0), key
 
 
-@pytest.mark.parametrize("direct_limit", [0, 10**9])
-def test_without_groups(spark, stages, direct_limit):
+def test_without_groups(spark, stages, ranges):
     rows = _rows(1)
     df = spark.createDataFrame(rows, "k string, x double")
-    result = exact_quantiles(df, "x", {"q1": 0.25, "q3": 0.75}, [], stages, direct_limit=direct_limit)
+    result = exact_quantiles(df, "x", {"q1": 0.25, "q3": 0.75}, [], stages)
     expected = np.quantile([x for _, x in rows], [0.25, 0.75])
     assert result.columns == ["q1", "q3"]
     assert np.allclose(tuple(result.first()), expected, rtol=1e-12)
 
 
-def test_both_ways_give_the_same_bits(spark, stages):
+def test_rows_are_spread_over_ranges_in_order(spark, stages, ranges):
+    df = spark.createDataFrame(_rows(2), "k string, x double")
+    counts = value_counts(df, "x", ["k"], stages)
+    rows = counts.orderBy("k", "_value").collect()
+    numbers = [row._range for row in rows]
+    assert numbers == sorted(numbers)
+    assert len(set(numbers)) > ranges // 2
+    assert sum(row._n for row in rows) == len(_rows(2))
+
+
+def test_same_bits_as_percentile(spark, stages, ranges):
     df = spark.createDataFrame(_rows(2), "k string, x double")
-    ways = [
-        sorted(map(tuple, exact_quantiles(
-            df, "x", PROBS, ["k"], stages, direct_limit=limit, base=4).collect()))
-        for limit in (0, 10**9)
-    ]
-    assert ways[0] == ways[1]
+    found = exact_quantiles(df, "x", PROBS, ["k"], stages)
+    built_in = df.groupBy("k").agg(F.percentile("x", list(PROBS.values())).alias("q"))
+    expected = [(row.k, *row.q) for row in built_in.collect()]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
