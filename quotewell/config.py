@@ -7,7 +7,6 @@ from dataclasses import dataclass, field, replace
 # Label spellings to merge, scope lists, thresholds and model settings that the
 # published results depend on.
 STATE_ALIASES = {
-    " Punjab": "Punjab",
     "Chattisgarh": "Chhattisgarh",
     "Jammu and Kashmir": "Jammu & Kashmir",
     "Tamilnadu": "Tamil Nadu",
@@ -56,7 +55,7 @@ class PanelConfig:
     low_price: str = "min_price"
     high_price: str = "max_price"
 
-    date_formats: tuple[str, ...] = ("yyyy-MM-dd", "M/d/yyyy")
+    date_formats: tuple[str, ...] = ("yyyy-M-d", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d")
     state_aliases: dict[str, str] = field(default_factory=lambda: dict(STATE_ALIASES))
     dropped_commodity: str = DROPPED_COMMODITY
     lower_iqr_factor: float = 1.5

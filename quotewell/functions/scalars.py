@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Characters counted as white space when labels are stripped.
 WHITESPACE = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
+# A time of day behind a date: cut off, since prices are kept per day.
+TIME_OF_DAY = r"[T ]\s*\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*([AaPp][Mm]|Z|[+-]\d{2}:?\d{2})?$"
 # The notations accepted for a number; anything else is missing.
 _NUMBER = r"\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*"
 NUMBER_PATTERN = f"^{_NUMBER}$"
@@ -38,8 +40,10 @@ def all_numbers(*columns: str) -> Column:
 
 
 def to_date(column: Column, formats: Iterable[str]) -> Column:
-    """Text to date by the first format that fits; NULL when none does."""
-    return F.coalesce(*[F.try_to_date(strip(column), fmt) for fmt in formats])
+    """Text to date by the first format that fits, without a time of day; NULL when none does."""
+    day = strip(column)
+    day = F.when(day.contains(":"), F.regexp_replace(day, TIME_OF_DAY, "")).otherwise(day)
+    return F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
 
 
 def equals_ignoring_case(column: Column, text: str) -> Column:
@@ -53,10 +57,8 @@ def round_half_up(column: Column, digits: int) -> Column:
     Two engines that sum in different orders differ in the last bits, so an exact tie such as
     0.125 may arrive as 0.12499999999999997. Rounding to 8 decimals first restores the tie.
     """
-    fine = F.floor(column * 1e8 + 0.5) / 10.0 ** (8 - digits)
-    return F.when(F.abs(column) < 1e9, F.floor(fine + 0.5) / 10.0**digits).otherwise(
-        F.round(column, digits)
-    )
+    fine = F.rint(column * 1e8) / 10.0 ** (8 - digits)
+    return F.floor(fine + 0.5) / 10.0**digits
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

@@ -49,6 +49,18 @@ def parse_date_column(df: DataFrame, cfg: PanelConfig) -> DataFrame:
     return df.withColumn(cfg.date, date.cast("date"))
 
 
+def unreadable_dates(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """Rows per form of a date text that no format fits: digits as 9, letters as a."""
+    text = F.col(cfg.date).cast("string")
+    form = F.regexp_replace(F.regexp_replace(text, "[0-9]", "9"), "[A-Za-z]", "a")
+    return (
+        normalise_headers(raw)
+        .where(text.isNotNull() & to_date(text, cfg.date_formats).isNull())
+        .groupBy(form.alias("form"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def coerce_prices(df: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Text prices to DOUBLE; a row with any unreadable price is dropped."""
     require_columns(df, cfg.price_columns)

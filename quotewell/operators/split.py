@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,6 @@ from quotewell.functions.scalars import (
     percent_change,
     round_half_up,
 )
-from quotewell.operators.panel import add_lags, add_rolling
 from quotewell.operators.profile import labels_long
 from quotewell.sources.schemas import FEATURES, schema_problems
 
@@ -188,26 +187,48 @@ def unseen_categories(split: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def leakage_audit(panel: DataFrame, cfg: PanelConfig, features: Sequence[str]) -> DataFrame:
-    """Check rows: the target is no feature, and stored history features equal those
-    recomputed from strictly prior reports."""
-    history = [f"lag_{n}" for n in cfg.lags] + [
-        f"rolling_{kind}_{size}" for size in cfg.windows for kind in ("mean", "std")
-    ]
-    stored = panel.select(
-        *cfg.keys, cfg.date, cfg.price, *[F.col(name).alias(f"stored_{name}") for name in history]
+    """Check rows: the target is no feature, and the history features among ``features`` equal
+    those worked out again from the reports with smaller numbers.
+
+    The arithmetic is the audit's own: reports are numbered by date, a frame is a range of those
+    numbers, and mean and deviation come from the listed prices of that frame.
+    """
+    return check_rows(_leaks(panel, cfg, features))
+
+
+def _leaks(panel: DataFrame, cfg: PanelConfig, features: Sequence[str]) -> DataFrame:
+    """One row with the number of violations per check of ``leakage_audit``."""
+    group = Window.partitionBy(*cfg.keys)
+    by_number = group.orderBy("_report")
+    fresh: dict[str, Column] = {}
+    for n in cfg.lags:
+        fresh[f"lag_{n}"] = F.max(cfg.price).over(by_number.rangeBetween(-n, -n))
+    for size in cfg.windows:
+        prices = F.collect_list(cfg.price).over(by_number.rangeBetween(-size, -1))
+        enough = F.size(prices) >= cfg.min_periods
+        mean = _total(prices) / F.size(prices)
+        squares = _total(F.transform(prices, lambda price: (price - mean) * (price - mean)))
+        fresh[f"rolling_mean_{size}"] = F.when(enough, mean)
+        fresh[f"rolling_std_{size}"] = F.when(enough, F.sqrt(squares / (F.size(prices) - 1)))
+    fresh = {name: column for name, column in fresh.items() if name in features}
+    numbered = panel.select(*cfg.keys, cfg.date, cfg.price, *fresh).withColumn(
+        "_report", F.row_number().over(group.orderBy(cfg.date))
     )
-    fresh = add_rolling(add_lags(stored, cfg), cfg)
+    compared = numbered.withColumns({f"_fresh_{name}": fresh[name] for name in fresh})
 
     def differs(name: str) -> Column:
-        old, new = F.col(f"stored_{name}"), F.col(name)
+        old, new = F.col(name), F.col(f"_fresh_{name}")
         same = F.coalesce(close_to(old, new, cfg.tolerance), old.isNull() & new.isNull())
         return F.count_if(~same)
 
-    counts = fresh.agg(
+    return compared.agg(
         F.lit(int(cfg.price in features)).cast("bigint").alias("target_in_features"),
-        *[differs(name).alias(name) for name in history],
+        *[differs(name).alias(name) for name in fresh],
     )
-    return check_rows(counts)
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0.0), lambda total, number: total + number)
 
 
 def check_rows(counts: DataFrame) -> DataFrame:
@@ -262,7 +283,13 @@ def findings(
         F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls"),
     )
     audit = split_audit(split, cfg)
-    cards = category_cardinality(split, cfg.categorical_features)
+    cards = category_plan(split, cfg.categorical_features).groupBy("name").agg(
+        F.count("label").alias("cardinality")
+    )
+    leaks = _leaks(split, cfg, features).drop("target_in_features")
+    history_leaks = leaks.select(
+        sum((F.col(name) for name in leaks.columns), F.lit(0)).cast("bigint")
+    )
     summary = summary.withColumns(
         {
             "audit": audit.select(F.struct("*")).scalar(),
@@ -271,6 +298,7 @@ def findings(
             ).scalar(),
             "limit": cutoff(split, cfg).select(F.col("cutoff_date").cast("string")).scalar(),
             "shift": mean_shift(split, cfg).agg(F.max(F.abs("shift_pct"))).scalar(),
+            "leaks": history_leaks.scalar(),
         }
     )
 
@@ -290,13 +318,23 @@ def findings(
             of_audit("ok"),
             F.concat_ws(
                 " ", F.lit("cutoff"), F.col("limit"),
-                F.lit("train"), of_audit("n_train").cast("string"),
-                F.lit("test"), of_audit("n_test").cast("string"),
+                *[
+                    part
+                    for side in ("train", "test")
+                    for part in (
+                        F.lit(side), of_audit(f"n_{side}").cast("string"),
+                        F.lit("from"), of_audit(f"{side}_min").cast("string"),
+                        F.lit("to"), of_audit(f"{side}_max").cast("string"),
+                    )
+                ],
             ),
         ),
         "F3 no leakage": (
-            F.lit(not target_used),
-            F.lit("target is a feature" if target_used else "target is no feature"),
+            F.lit(not target_used) & (F.col("leaks") == 0),
+            F.concat(
+                F.lit("target is a feature" if target_used else "target is no feature"),
+                F.lit(", history values that differ "), F.col("leaks").cast("string"),
+            ),
         ),
         "F4 missing values": (
             F.lit(True),

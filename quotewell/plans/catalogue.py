@@ -77,6 +77,11 @@ def coerce_dates_prices(p: Pipeline) -> DataFrame:
     return cleaning.coerce_prices(p.dated, CFG)
 
 
+@query
+def unreadable_dates(p: Pipeline) -> DataFrame:
+    return cleaning.unreadable_dates(p.raw, CFG)
+
+
 @query
 def price_rules_filter(p: Pipeline) -> DataFrame:
     return cleaning.drop_invalid_prices(p.raw, CFG)
@@ -369,6 +374,22 @@ def leakage_audit(p: Pipeline) -> DataFrame:
     return split.leakage_audit(p.features, CFG, CFG.model_features)
 
 
+@query
+def leakage_audit_planted(p: Pipeline) -> DataFrame:
+    """The audit of a panel whose rolling columns include the price of the row itself."""
+    leaky = p.features
+    for size in CFG.windows:
+        frame = panel.report_order(CFG).rowsBetween(1 - size, 0)
+        enough = F.count(CFG.price).over(frame) >= CFG.min_periods
+        leaky = leaky.withColumns(
+            {
+                f"rolling_mean_{size}": F.when(enough, F.avg(CFG.price).over(frame)),
+                f"rolling_std_{size}": F.when(enough, F.stddev_samp(CFG.price).over(frame)),
+            }
+        )
+    return split.leakage_audit(leaky, CFG, CFG.model_features)
+
+
 @query
 def findings(p: Pipeline) -> DataFrame:
     return split.findings(p.split, CFG, CFG.model_features, CFG.scope)

@@ -231,18 +231,37 @@ def _differs(stored: str, fresh: str) -> str:
     )
 
 
-def _recomputed() -> str:
-    """History features once more, from report numbers instead of frames for the lags."""
-    lags = "".join(
-        f" LEFT JOIN numbered l{n} ON l{n}.state = f.state AND l{n}.commodity = f.commodity"
-        f" AND l{n}.report = f.report - {n}"
-        for n in (1, 7, 14, 30)
+def _recomputed(views: str = VIEWS, source: str = "features") -> str:
+    """History features once more, joined by report numbers instead of taken from frames."""
+    lags = ", ".join(
+        f"max(p.modal_price) FILTER (WHERE d = {n}) AS fresh_lag_{n}" for n in (1, 7, 14, 30)
+    )
+    rolling = ", ".join(
+        f"CASE WHEN count(p.modal_price) FILTER (WHERE d <= {size}) >= 3 THEN "
+        f"{function}(p.modal_price) FILTER (WHERE d <= {size}) END AS fresh_rolling_{kind}_{size}"
+        for size in (7, 30) for kind, function in (("mean", "avg"), ("std", "stddev_samp"))
     )
-    fresh = ", ".join(f"l{n}.modal_price AS fresh_lag_{n}" for n in (1, 7, 14, 30))
     return (
-        VIEWS + ", numbered AS (SELECT *, row_number() OVER (PARTITION BY state, commodity"
-        " ORDER BY price_date) AS report FROM features)"
-        f", compared AS (SELECT f.*, {fresh} FROM numbered f{lags})"
+        views + ", numbered AS (SELECT *, row_number() OVER (PARTITION BY state, commodity"
+        f" ORDER BY price_date) AS report FROM {source})"
+        f", earlier AS (SELECT f.state, f.commodity, f.report, {lags}, {rolling}"
+        " FROM (SELECT state, commodity, report, unnest(range(1, 31)) AS d FROM numbered) f"
+        " LEFT JOIN numbered p ON p.state = f.state AND p.commodity = f.commodity"
+        " AND p.report = f.report - d GROUP BY ALL)"
+        ", compared AS (SELECT * FROM numbered JOIN earlier USING (state, commodity, report))"
+    )
+
+
+def _leakage(views: str = VIEWS, source: str = "features") -> str:
+    return _recomputed(views, source) + (
+        "SELECT *, violations = 0 AS ok FROM ("
+        "SELECT 'target_in_features' AS check_name, cast(0 AS bigint) AS violations UNION ALL "
+        + " UNION ALL ".join(
+            f"SELECT '{name}', count(*) FILTER (WHERE {_differs(name, f'fresh_{name}')})"
+            " FROM compared"
+            for name in MODEL_FEATURES[:8]
+        )
+        + ")"
     )
 
 
@@ -265,6 +284,11 @@ ORACLE: dict[str, str] = {
         WHERE try_cast(min_price AS double) IS NOT NULL
           AND try_cast(max_price AS double) IS NOT NULL
           AND try_cast(modal_price AS double) IS NOT NULL""",
+    "unreadable_dates": VIEWS + """
+        SELECT regexp_replace(regexp_replace(price_date, '[0-9]', '9', 'g'), '[A-Za-z]', 'a', 'g')
+                 AS form, count(*) AS n
+        FROM quotes_raw WHERE price_date IS NOT NULL AND try_cast(price_date AS date) IS NULL
+        GROUP BY form""",
     "price_rules_filter": VIEWS + """
         SELECT * FROM (
           SELECT * REPLACE (try_cast(min_price AS double) AS min_price,
@@ -488,18 +512,26 @@ ORACLE |= {
     "unexpected_categories": VIEWS + f"""
         SELECT DISTINCT commodity FROM features
         EXCEPT SELECT unnest(['ECONOMY', 'STANDARD'])""",
-    "leakage_audit": _recomputed() + "SELECT *, violations = 0 AS ok FROM ("
-        "SELECT 'target_in_features' AS check_name, cast(0 AS bigint) AS violations UNION ALL "
-        + " UNION ALL ".join(
-            f"SELECT 'lag_{n}' AS check_name, count(*) FILTER "
-            f"(WHERE {_differs(f'lag_{n}', f'fresh_lag_{n}')}) FROM compared"
-            for n in (1, 7, 14, 30)
-        ) + " UNION ALL " + " UNION ALL ".join(
-            f"SELECT '{name}', count(*) FILTER (WHERE report <= 3 AND {name} IS NOT NULL "
-            f"OR report > 3 AND {name} IS NULL) FROM compared"
-            for name in _HISTORY
-        ) + ")",
-    "findings": SPLIT + f""", shifts AS (
+    "leakage_audit": _leakage(),
+    "leakage_audit_planted": _leakage(
+        VIEWS + """, leaky AS (
+          SELECT * REPLACE (
+            CASE WHEN count(*) OVER last7 >= 3 THEN avg(modal_price) OVER last7 END
+              AS rolling_mean_7,
+            CASE WHEN count(*) OVER last7 >= 3 THEN stddev_samp(modal_price) OVER last7 END
+              AS rolling_std_7,
+            CASE WHEN count(*) OVER last30 >= 3 THEN avg(modal_price) OVER last30 END
+              AS rolling_mean_30,
+            CASE WHEN count(*) OVER last30 >= 3 THEN stddev_samp(modal_price) OVER last30 END
+              AS rolling_std_30)
+          FROM features
+          WINDOW last7 AS (PARTITION BY state, commodity ORDER BY price_date
+                           ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+                 last30 AS (PARTITION BY state, commodity ORDER BY price_date
+                            ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))""",
+        "leaky",
+    ),
+    "findings": _recomputed(SPLIT, "split") + f""", shifts AS (
           SELECT max(abs((te - tr) / tr * 100)) AS shift FROM (
             SELECT avg(modal_price) FILTER (WHERE is_train) AS tr,
                    avg(modal_price) FILTER (WHERE NOT is_train) AS te
@@ -515,8 +547,18 @@ ORACLE |= {
                concat('cutoff ', (SELECT cast(DATE '1970-01-01'
                  + cast(cutoff_us // 86400000000 AS integer) AS date) FROM cut),
                  ' train ', count(*) FILTER (WHERE is_train),
-                 ' test ', count(*) FILTER (WHERE NOT is_train)) FROM split
-        UNION ALL SELECT 'F3 no leakage', true, 'target is no feature'
+                 ' from ', min(price_date) FILTER (WHERE is_train),
+                 ' to ', max(price_date) FILTER (WHERE is_train),
+                 ' test ', count(*) FILTER (WHERE NOT is_train),
+                 ' from ', min(price_date) FILTER (WHERE NOT is_train),
+                 ' to ', max(price_date) FILTER (WHERE NOT is_train)) FROM split
+        UNION ALL
+        SELECT 'F3 no leakage', n = 0,
+               concat('target is no feature, history values that differ ', n)
+        FROM (SELECT {" + ".join(
+            f"count(*) FILTER (WHERE {_differs(name, f'fresh_{name}')})"
+            for name in MODEL_FEATURES[:8]
+        )} AS n FROM compared)
         UNION ALL
         SELECT 'F4 missing values', true, concat({" + ".join(
             f"count(*) FILTER (WHERE {name} IS NULL)" for name in MODEL_FEATURES

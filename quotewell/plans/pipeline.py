@@ -71,7 +71,8 @@ class Pipeline:
 
     @property
     def split(self) -> DataFrame:
-        return forecast.model_split(self.features, self.cfg)
+        """The scope rows of the feature panel with ``is_train``."""
+        return self.stages.once("split", lambda: forecast.model_split(self.features, self.cfg))
 
     @property
     def residual_split(self) -> DataFrame:

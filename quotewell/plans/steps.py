@@ -84,6 +84,7 @@ def clean(ws: Workspace) -> Reports:
     )
     return {
         "steps": cleaning.cleaning_steps(raw, bounds, cfg),
+        "unreadable_dates": cleaning.unreadable_dates(raw, cfg),
         "outliers": cleaning.outlier_profile(valid, bounds, cfg),
         "label_cardinality": profile.label_cardinality(
             labels, raw_state=F.col("raw_state"), state=F.col(cfg.state)

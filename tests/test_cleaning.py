@@ -190,3 +190,18 @@ def test_cleaning_keeps_bad_dates_and_drops_bound_columns(spark, stages):
 def test_rounding(spark, value, digits, expected):
     df = spark.createDataFrame([(value,)], "x double")
     assert df.select(round_half_up(F.col("x"), digits)).first()[0] == expected
+
+
+def test_dates_with_a_time_unpadded_dates_and_unreadable_ones(spark):
+    texts = [
+        "2024-01-05", "2024-1-5", "2024-01-05 00:00:00", "2024-01-05T10:30", "1/5/2024",
+        "01-05-2024", "2024/01/05", " 1/5/2024 9:15 AM ", "2024-01-05 10:30:00.250+05:30",
+    ]
+    bad = ["2024-13-40", "soon", "2023-02-30", "soon", "5 Jan"]
+    df = spark.createDataFrame([(t,) for t in [*texts, *bad, None]], "`Price Date` string")
+    df = cleaning.normalise_headers(df)
+    parsed = cleaning.parse_date_column(df, CFG).collect()
+    day = datetime.date(2024, 1, 5)
+    assert [r.price_date for r in parsed] == [day] * len(texts) + [None] * 6
+    forms = {r.form: r.n for r in cleaning.unreadable_dates(df, CFG).collect()}
+    assert forms == {"9999-99-99": 2, "aaaa": 2, "9 aaa": 1}

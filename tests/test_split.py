@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quotewell.config import PanelConfig
-from quotewell.operators import forecast, profile, split
+from quotewell.operators import forecast, panel, profile, split
 
 CFG = PanelConfig()
 DAY = datetime.date(2023, 6, 6)
@@ -144,6 +145,51 @@ def test_naive_split_drops_before_the_cutoff_and_residual_after(spark):
     assert (summary.n_dropped, summary.n) == (1, 10)
 
 
+def history(spark, frame):
+    """Two groups of 40 reports each with the history columns; rolling ones from ``frame``."""
+    rows = [
+        (state, "Onion", DAY + datetime.timedelta(days=2 * i), float((i * 37) % 11 + i))
+        for state in ("A", "B") for i in range(40)
+    ]
+    df = spark.createDataFrame(
+        rows, "state string, commodity string, price_date date, modal_price double"
+    )
+    df = panel.add_lags(df, CFG)
+    for size in CFG.windows:
+        first, last = frame(size)
+        over = panel.report_order(CFG).rowsBetween(first, last)
+        enough = F.count("modal_price").over(over) >= CFG.min_periods
+        df = df.withColumns(
+            {
+                f"rolling_mean_{size}": F.when(enough, F.avg("modal_price").over(over)),
+                f"rolling_std_{size}": F.when(enough, F.stddev_samp("modal_price").over(over)),
+            }
+        )
+    return df
+
+
+def test_leakage_audit_passes_prior_reports_and_finds_a_frame_with_the_price_itself(spark):
+    def violations(rows):
+        audit = split.leakage_audit(rows, CFG, CFG.model_features).collect()
+        return {r.check_name: r.violations for r in audit}
+
+    clean = history(spark, lambda size: (-size, -1))
+    assert set(violations(clean).values()) == {0}
+    leaky = violations(history(spark, lambda size: (1 - size, 0)))
+    assert [leaky[f"lag_{n}"] for n in CFG.lags] == [0, 0, 0, 0]
+    prices = pd.Series([float((i * 37) % 11 + i) for i in range(40)])
+
+    def differ(old, new):
+        return 2 * int((~(((old - new).abs() < 1e-6) | (old.isna() & new.isna()))).sum())
+
+    for size in CFG.windows:
+        own, prior = (p.rolling(size, min_periods=3) for p in (prices, prices.shift(1)))
+        assert leaky[f"rolling_mean_{size}"] == differ(own.mean(), prior.mean()) > 0
+        assert leaky[f"rolling_std_{size}"] == differ(own.std(), prior.std()) > 0
+    shifted = clean.withColumn("lag_7", F.col("lag_1"))
+    assert violations(shifted)["lag_7"] == differ(prices.shift(1), prices.shift(7)) > 0
+
+
 def test_findings_report_a_stray_commodity(spark):
     rows = parted(spark)
     features = ["state", "commodity"]
