@@ -45,9 +45,19 @@ class Workspace:
         return f"{self.folder.rstrip('/')}/{name}"
 
     def raw(self) -> DataFrame:
+        """The columns of the raw file that the steps use, as a stage table.
+
+        Text files cannot be read in part, so the file is parsed once, and every report reads
+        the columns it needs from the stage table.
+        """
         if self.raw_path is None:
             raise ValueError("this step needs the raw quote file")
-        return cleaning.normalise_headers(tables.read_raw_quotes(self.spark, self.raw_path))
+        return self.stages.once("raw", self._read_raw)
+
+    def _read_raw(self) -> DataFrame:
+        raw = cleaning.normalise_headers(tables.read_raw_quotes(self.spark, self.raw_path))
+        used = {*CLEANED.names, *self.cfg.keys, self.cfg.date, *self.cfg.price_columns}
+        return raw.select(*[name for name in raw.columns if name in used])
 
     def cleaned(self) -> DataFrame:
         return tables.read_table(self.spark, self.path("cleaned"), CLEANED)
@@ -58,7 +68,7 @@ class Workspace:
         )
 
     def split(self) -> DataFrame:
-        return forecast.model_split(self.features(), self.cfg)
+        return self.stages.once("split", lambda: forecast.model_split(self.features(), self.cfg))
 
     def saved_model(self, kind: str) -> TrainedModel | None:
         """A model of an earlier run, or None if that run has not been made."""

@@ -10,7 +10,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from quotewell.__main__ import main
-from quotewell.plans.steps import Workspace
+from quotewell.plans.steps import STEPS, Workspace
 from quotewell.sources import tables
 from quotewell.sources.schemas import BASELINE_PREDICTIONS, CLEANED, SchemaError, schema_problems
 from quotewell.sources.stages import Stages, shared_folder
@@ -120,6 +120,16 @@ def test_steps_hand_over_through_tables(spark, raw_csv, tmp_path):
     assert all(r.logged is not None for r in checked)
 
 
+def test_all_reports_of_a_workspace_share_one_read_of_the_raw_file(spark, raw_csv, tmp_path):
+    ws = Workspace(spark, f"{tmp_path}/ws", raw_csv)
+    reports = {**STEPS["clean"](ws), **STEPS["gaps"](ws)}
+    for name, report in reports.items():
+        files = report.inputFiles()
+        assert files and all(path.endswith(".parquet") for path in files), name
+    assert ws.raw() is ws.raw()
+    ws.stages.close()
+
+
 def test_a_step_without_its_input_fails_and_reports_can_be_csv(spark, raw_csv, tmp_path):
     with pytest.raises(ValueError, match="raw quote file"):
         main(["clean", "--folder", f"{tmp_path}/a"])
