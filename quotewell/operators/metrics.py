@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.functions.scalars import round_half_up
+from quotewell.sources.runlog import METRIC_SUFFIXES
 
 ERRORS = ("mae", "rmse", "mape_pct")
 OVERALL = "OVERALL"
@@ -125,7 +126,6 @@ def beats_base(comparison: DataFrame, *improvements: str) -> DataFrame:
 
 def cross_check(metrics: DataFrame, logged: DataFrame, model: str) -> DataFrame:
     """Re-scored overall errors of one model beside those of its latest run record."""
-    suffixes = {"mae": "MAE", "rmse": "RMSE", "mape_pct": "MAPE_pct"}
     fresh = metrics.where(
         (F.col("model") == model) & (F.col("group_label") == OVERALL)
     ).select(
@@ -136,10 +136,12 @@ def cross_check(metrics: DataFrame, logged: DataFrame, model: str) -> DataFrame:
                         F.lit(f"{model}_{OVERALL}_{suffix}").alias("metric"),
                         F.col(error).alias("rescored"),
                     )
-                    for error, suffix in suffixes.items()
+                    for error, suffix in METRIC_SUFFIXES.items()
                 ]
             )
         )
     )
-    latest = logged.groupBy("metric").agg(F.max_by("value", "timestamp_utc").alias("logged"))
-    return fresh.join(latest, "metric", "left")
+    run = F.struct("timestamp_utc", "run_id")
+    of_model = logged.where(F.col("model") == model)
+    latest = of_model.where(run.eqNullSafe(of_model.agg(F.max(run)).scalar()))
+    return fresh.join(latest.select("metric", F.col("value").alias("logged")), "metric", "left")

@@ -696,7 +696,7 @@ def run_log_roundtrip(p: Pipeline) -> DataFrame:
         "model", F.concat(F.lit("gain_pct "), "feature").alias("metric"),
         F.col("gain_pct").alias("value"),
     )
-    return runlog.logged_metrics(records).drop("timestamp_utc").unionByName(gains)
+    return runlog.logged_metrics(records).drop("timestamp_utc", "run_id").unionByName(gains)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,7 +52,8 @@ def run_record(
     subquery. Columns that are not given stay NULL.
     """
     given = {
-        "timestamp_utc": datetime.now(timezone.utc).isoformat(timespec="seconds"),
+        "timestamp_utc": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
+        "run_id": uuid.uuid4().hex,
         "params": F.create_map(*[F.lit(part) for pair in params.items() for part in pair]),
         **columns,
     }
@@ -90,7 +92,9 @@ def read_run_records(spark: SparkSession, path: str) -> DataFrame:
 
 def logged_metrics(records: DataFrame) -> DataFrame:
     """Long form: one row per run, model and logged metric."""
-    return records.select("timestamp_utc", "model", F.explode("metrics").alias("metric", "value"))
+    return records.select(
+        "timestamp_utc", "run_id", "model", F.explode("metrics").alias("metric", "value")
+    )
 
 
 def logged_importance(records: DataFrame) -> DataFrame:

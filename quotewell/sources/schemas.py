@@ -34,7 +34,7 @@ DIRECT_PREDICTIONS = _struct(
     actual_modal_price=NUMBER, predicted_modal_price=NUMBER,
 )
 RUN_RECORD = _struct(
-    timestamp_utc=TEXT, model=TEXT, target=TEXT, inference=TEXT,
+    timestamp_utc=TEXT, run_id=TEXT, model=TEXT, target=TEXT, inference=TEXT,
     params=T.MapType(TEXT, TEXT),
     metrics=T.MapType(TEXT, NUMBER),
     feature_importance_gain=T.MapType(TEXT, NUMBER),

@@ -70,3 +70,21 @@ def test_three_way_tolerates_a_missing_direct_model(spark, with_direct):
     assert row.mae_direct == (7.0 if with_direct else None)
     assert (row.mae_resid_vs_base_pct, row.rmse_resid_vs_base_pct) == (50.0, -100.0)
     assert row.n == 5
+
+
+def test_cross_check_takes_one_record_not_a_mix(spark):
+    scores = spark.createDataFrame(
+        [("M", "OVERALL", 9, 1.0, 2.0, 3.0)],
+        "model string, group_label string, n bigint, mae double, rmse double, mape_pct double",
+    )
+    logged = spark.createDataFrame(
+        [
+            ("2024-01-01T00:00:00", "a", "M", "M_OVERALL_MAE", 10.0),
+            ("2024-01-01T00:00:00", "a", "M", "M_OVERALL_RMSE", 20.0),
+            ("2024-01-01T00:00:00", "b", "M", "M_OVERALL_MAE", 11.0),
+            ("2024-01-02T00:00:00", "c", "other", "M_OVERALL_MAE", 12.0),
+        ],
+        "timestamp_utc string, run_id string, model string, metric string, value double",
+    )
+    rows = {r.metric: r.logged for r in metrics.cross_check(scores, logged, "M").collect()}
+    assert rows == {"M_OVERALL_MAE": 11.0, "M_OVERALL_RMSE": None, "M_OVERALL_MAPE_pct": None}
