@@ -8,11 +8,14 @@ threshold that lies above nearly all ordinary samples.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,10 +170,13 @@ def find(text: str, detector: Detector | None) -> list[tuple[str, int, int]]:
     raw = text.encode("utf-8", "replace")
     found = base_spans(raw)
     if detector is not None:
-        taken = [(start, end) for _, start, end in found]
+        taken = sorted((start, end) for _, start, end in found)
+        starts = [start for start, _ in taken]
+        reach = list(accumulate((end for _, end in taken), max))
         for m in TOKEN.finditer(raw):
             start, end = m.span()
-            if any(start < e and s < end for s, e in taken):
+            before = bisect_left(starts, end)  # spans that start before the token ends
+            if before and reach[before - 1] > start:
                 continue
             if detector.is_secret(m.group()):
                 found.append(("markov", start, end))
@@ -201,21 +207,27 @@ def scan(
     return docs.withColumn(spans_col, F.pandas_udf(run, f"array<{SPAN}>")(whole_text(text_col)))
 
 
+def redacted(text: str, spans: list[dict]) -> str:
+    """The text with each span, in order of starts, replaced by its kind in brackets."""
+    out, at = [], 0
+    for span in spans:
+        if span["start"] >= at:
+            out += [text[at:span["start"]], f"[{span['kind']}]"]
+        at = max(at, span["end"])
+    return "".join([*out, text[at:]])
+
+
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span of secrets replaced by ``[kind]``; overlapping spans become one."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(F.lit(0), span["start"] - state["at"]))
-        mark = F.when(span["start"] >= state["at"],
-                      F.concat(F.lit("["), span["kind"], F.lit("]"))).otherwise("")
-        return F.struct(F.concat(state["out"], gap, mark).alias("out"),
-                        F.greatest(state["at"], span["end"]).alias("at"))
-
-    return F.aggregate(
-        spans, start, step,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))),
-    )
+    """The text with each span of secrets replaced by ``[kind]``; overlapping spans become one.
+
+    A null text stays null, and a text without spans stays as it is.
+    """
+    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
+        return pa.array(
+            [t if not f or t is None else redacted(t, f)
+             for t, f in zip(texts.to_pylist(), found.to_pylist(), strict=True)], pa.string())
+
+    return F.arrow_udf(run, "string")(text, spans)
 
 
 def span_text(spans: Column) -> Column:
