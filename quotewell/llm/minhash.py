@@ -20,6 +20,7 @@ PERMUTATIONS = 64  # each gives a minimum and a maximum
 BAND_ROWS = 4
 SEED = 41
 REMEMBERED = 300_000
+BLOCK_SHINGLES = 1 << 21  # of all documents in a block, so that long ones make smaller blocks
 
 
 class WordHashes(dict):
@@ -157,12 +158,15 @@ def link_block(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
     values, place = np.unique(np.concatenate(sets), return_inverse=True)
     common = np.bincount(place, minlength=len(values)) > 1
     column = np.cumsum(common) - 1
-    owner = np.repeat(np.arange(len(sets)), sizes)
     held = common[place]
     width = -(-int(common.sum() + 1) // 64) * 64
-    bits = np.zeros((len(sets), width), bool)
-    bits[owner[held], column[place[held]]] = True
-    packed = np.packbits(bits, axis=1).view(np.uint64)
+    packed = np.zeros((len(sets), width // 8), np.uint8)
+    ends = sizes.cumsum()
+    for k, (begin, end) in enumerate(zip(ends - sizes, ends, strict=True)):
+        bits = np.zeros(width, bool)
+        bits[column[place[begin:end][held[begin:end]]]] = True
+        packed[k] = np.packbits(bits)
+    packed = packed.view(np.uint64)
     names, group = np.unique(rows.column("component").to_numpy(), return_inverse=True)
     two = sides.min() != sides.max()
     out: list[tuple[int, int]] = []
@@ -189,18 +193,26 @@ def near_links(
 
     Buckets with the same documents count once. First each bucket's smallest document is compared
     with the others; that settles groups of true copies. Buckets whose documents are then still in
-    different components are compared in full, in blocks of bounded size.
+    different components are compared in full, in blocks bounded in documents and in shingles.
     """
-    hashed = signed.select("id", F.explode("bands").alias("bucket"))
+    hashed = signed.select(
+        "id", F.col("n_shingles").cast("int").alias("length"), F.explode("bands").alias("bucket")
+    )
     print_of = F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("print")
     buckets = stages.write(
         hashed.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min("id").alias("pivot"), print_of)
-        .where("size > 1").groupBy("size", "pivot", "print").agg(F.min("bucket").alias("bucket")),
+        .agg(F.count("*").alias("size"), F.sum("length").alias("weight"),
+             F.min("id").alias("pivot"), print_of)
+        .where("size > 1").groupBy("size", "weight", "pivot", "print")
+        .agg(F.min("bucket").alias("bucket")),
         "near-buckets",
     )
     members = stages.write(
-        hashed.join(buckets, "bucket").select("bucket", "size", "pivot", "id"), "near-members"
+        hashed.join(buckets, "bucket").select(
+            "bucket", F.greatest(F.ceil(F.col("size") / block),
+                                 F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+            "pivot", "id"),
+        "near-members",
     )
     wanted = stages.write(members.select("id").distinct(), "near-ids")
     sets = stages.write(
@@ -215,7 +227,7 @@ def near_links(
     labels = components(found, stages)
     labelled = stages.write(
         members.join(labels, members["id"] == labels["node"], "left")
-        .select("bucket", "size", "id", F.coalesce("component", "id").alias("component")),
+        .select("bucket", "blocks", "id", F.coalesce("component", "id").alias("component")),
         "near-labelled",
     )
     open_ones = stages.write(
@@ -224,10 +236,8 @@ def near_links(
         .where("low <> high").select("bucket"),
         "near-open",
     )
-    blocks = F.ceil(F.col("size") / block).cast("int")
     dealt = (
         labelled.join(open_ones, "bucket", "left_semi")
-        .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("bucket", F.least("block", "other").alias("low"),
@@ -271,7 +281,7 @@ def near_duplicates(
         "near-classes",
     )
     firsts = classes.select(F.col("first").alias("id"), "set_key")
-    chosen = named.join(firsts, ["id", "set_key"], "left_semi").select("id", "bands")
+    chosen = named.join(firsts, ["id", "set_key"], "left_semi").select("id", "n_shingles", "bands")
     links = near_links(chosen, texts.where("id is not null"), stages, shingle, percent, block)
     repeated = named.groupBy("id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
     repeated = repeated.where("x <> y").select("id")
