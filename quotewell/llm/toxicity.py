@@ -1,8 +1,9 @@
 """Toxic spans by a linear-chain conditional random field with two tags.
 
 Labels are given per document. Words, and beginnings of words, that occur in far more toxic than
-clean documents label the tokens of the toxic ones. The field is fitted to those token labels; its forward-backward marginals
-tag spans, and a logistic function of their maximum and sum scores the document.
+clean documents label the tokens of the toxic ones. The field is fitted to those token labels; its
+forward-backward marginals tag spans, and a logistic function of their maximum and sum scores the
+document.
 """
 
 from __future__ import annotations
