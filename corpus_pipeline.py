@@ -15,12 +15,16 @@ from quotewell.sources.stages import Stages
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ranking puts below its threshold go.
 
-    The ranking is fitted to labelled rows of ``documents`` outside the held-out third.
+    The ranking is fitted to labelled rows of ``documents`` outside the held-out third. Without
+    any labelled row nothing is known of quality, and all documents stay.
     """
     held_out = fold("doc_id", 3) == 1
     source = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(fit_sample(source, labels, "quality", ~held_out, Stages(spark)))
+    sample = fit_sample(source, labels, "quality", ~held_out, Stages(spark))
+    if not sample:
+        return docs
+    model = quality.fit(sample)
     score = free_name(docs, "quality_score")
     return quality.score(docs, model, score).where(F.col(score) >= 0.5).drop(score)
 
