@@ -1,0 +1,146 @@
+"""The corpus pipeline on odd rows, stage by stage against brute force."""
+
+from __future__ import annotations
+
+import re
+import string
+import zlib
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from quotewell.llm import quality, secret_scan
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+# The columns of documents, with others that the operators use inside.
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score double, "
+          "quality_score double, secret_spans string, key string, dropped_id int, Kept string")
+JUNK = "@@ ## $$ " * 30
+
+
+def prose(seed: int, n: int = 60) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join(f"Word{i} of" if i % 7 else f"end{i}." for i in rng.integers(0, 900, n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    secret = "password = abcdefgh1234"
+    base = prose(1000)
+    texts = [prose(i) for i in range(40)] + [JUNK + str(i) for i in range(20)]
+    texts += [base, base.upper(), base, f"{base} tail", None, "", " \n", JUNK, prose(50, 20_000),
+              f"{prose(60)} {secret} {prose(61)}", f"é {prose(62)} {secret}, {secret}"]
+    return [(i, t, "en", "web", len(t or ""), 0.1, 0.2, "s", "k", 1, "x")
+            for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, rows, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("corpus"))
+    docs = spark.createDataFrame([*rows, rows[0]], SCHEMA)  # one row twice
+    docs.repartition(3).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, int(i < 40), None) for i in range(60)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{path}/labels.parquet")
+    return path
+
+
+@pytest.fixture(scope="module")
+def steps(spark, folder, stages):
+    """Input rows and output rows of every stage, by name."""
+    docs, out = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = stages.write(stage(spark, docs, folder), "pipeline-test")
+        if name != "packing":
+            assert docs.schema.simpleString() == before.schema.simpleString()
+        out[name] = (before.collect(), docs.collect())
+    return out
+
+
+def test_quality(steps, rows):
+    before, after = steps["quality classifier"]
+    sample = [(rows[i][1], int(i < 40)) for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    model = quality.fit(sample)
+    keep = {r.doc_id for r in before
+            if model.scores(quality.features(r.text or "")[None])[0] >= 0.5}
+    assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in before if r.doc_id in keep)
+    assert set(range(40)) <= keep and not keep & set(range(40, 60))
+
+
+def test_exact(steps):
+    before, after = steps["exact dedup"]
+    last = {}
+    for r in before:
+        text = (r.text or "").translate(LOWER)
+        last[text] = max(last.get(text, -1), r.doc_id)
+    assert {r.doc_id for r in after} == set(last.values())
+
+
+def test_near(steps):
+    before, after = steps["minhash near dedup"]
+    sets = {}
+    for r in before:
+        own = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(LOWER))
+        sets[r.doc_id] = {tuple(own[k:k + 5]) for k in range(max(1, len(own) - 4))} if own else set()
+    first = {i: i for i in sets}
+    for _ in sets:
+        for i, x in sets.items():
+            for j, y in sets.items():
+                if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                    first[i] = first[j] = min(first[i], first[j])
+    assert {r.doc_id for r in after} == set(first.values())
+    assert len(after) < len(before)
+
+
+def test_secrets(steps):
+    before, after = steps["secret scan"]
+    by_id = {r.doc_id: r for r in after}
+    assert sorted(r.doc_id for r in before) == sorted(r.doc_id for r in after)
+    redacted = 0
+    for row in before:
+        now = by_id[row.doc_id]
+        spans = secret_scan.find(row.text or "", None)
+        if spans:
+            text = row.text
+            for kind, start, end in reversed(spans):
+                text = f"{text[:start]}[{kind}]{text[end:]}"
+            assert (now.text, now.n_chars) == (text, len(text))
+            redacted += 1
+        else:
+            assert now == row
+    assert redacted == 2
+
+
+def test_packing(steps):
+    before, after = steps["packing"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    twice = {r.doc_id for r in before if sum(r.doc_id == x.doc_id for x in before) > 1}
+    pieces, lengths = {}, {}
+    for piece in sorted(after, key=lambda p: p.start):
+        lengths[piece.doc_id] = lengths.get(piece.doc_id, 0) + piece.length
+        if piece.doc_id not in twice:
+            assert piece.start == len(pieces.setdefault(piece.doc_id, []))
+            pieces[piece.doc_id] += piece.ids
+    ids = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1]
+           for r in before}
+    assert pieces == {i: v for i, v in ids.items() if i not in twice}
+    assert lengths == {i: len(v) * (1 + (i in twice)) for i, v in ids.items()}
+
+
+def test_empty_tables(spark, folder, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(
+            f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_without_labels_all_stay(spark, folder, tmp_path):
+    spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(
+        f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.good_quality(spark, docs, str(tmp_path)).count() == docs.count()
