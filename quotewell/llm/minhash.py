@@ -20,7 +20,7 @@ PERMUTATIONS = 64  # each gives a minimum and a maximum
 BAND_ROWS = 4
 SEED = 41
 REMEMBERED = 300_000
-BLOCK_SHINGLES = 1 << 21  # of all documents in a block, so that long ones make smaller blocks
+BLOCK_SHINGLES = 1 << 19  # of all documents in a block, so that long ones make smaller blocks
 
 
 class WordHashes(dict):
