@@ -19,7 +19,7 @@ from quotewell.sources.stages import Stages
 PERMUTATIONS = 64  # each gives a minimum and a maximum
 BAND_ROWS = 4
 SEED = 41
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 BLOCK_SHINGLES = 1 << 19  # of all documents in a block, so that long ones make smaller blocks
 
 
