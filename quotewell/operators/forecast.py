@@ -19,6 +19,10 @@ from quotewell.sources.stages import ensure_checkpoint_dir
 # be missing (prices are positive, deviations are not negative), so trees can split it off.
 MISSING = -1.0
 
+# Trees between two checkpoints of the residuals, and memory for the histograms of one pass.
+TREES_PER_CHECKPOINT = 50
+HISTOGRAM_MB = 1024
+
 
 def model_split(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
     """The modelling scope with its temporal split; shared by audits and models."""
@@ -111,6 +115,8 @@ def fit_trees(
         maxBins=max(params.max_bins, largest),
         lossType="squared",
         seed=params.seed,
+        checkpointInterval=TREES_PER_CHECKPOINT,
+        maxMemoryInMB=HISTOGRAM_MB,
     )
     vector = VectorAssembler(inputCols=[f"in_{name}" for name in features], outputCol="features")
     inputs = assemble_inputs(train, features, cfg).where(F.col(target).isNotNull())

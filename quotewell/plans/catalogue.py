@@ -25,9 +25,7 @@ from quotewell.sources.schemas import BASELINE_PREDICTIONS, CLEANED, FEATURES
 from quotewell.sources.stages import Stages
 
 CFG = FIXTURE_CONFIG
-# Each tree costs about half a second of job latency on one machine whatever the data, so the
-# registered model queries train fewer trees than the default of TreeParams.
-TREES = TreeParams(n_trees=20)
+TREES = TreeParams()
 
 AVERAGES = [
     "rolling_mean_7", "rolling_std_7", "rolling_mean_30", "rolling_std_30",
@@ -672,6 +670,44 @@ def gbt_reconstruction(p: Pipeline) -> DataFrame:
     )
 
 
+@query
+def gbt_scored_rows(p: Pipeline) -> DataFrame:
+    """The rows that each model scores, and whether they have a finite prediction."""
+    def rows(kind: str) -> DataFrame:
+        finite = F.coalesce(F.abs("predicted") < F.lit(float("inf")), F.lit(False))
+        scored = p.predictions(kind).withColumn("model", F.lit(kind))
+        return _with_keys(scored, "model", CFG.price, finite.alias("scored"))
+
+    return rounded(rows(DIRECT).unionByName(rows(RESIDUAL)), 4, CFG.price)
+
+
+@query
+def gbt_model_errors(p: Pipeline) -> DataFrame:
+    """The base errors of both comparisons, and whether the model's own error beside them is that
+    of the predictions that its query returns."""
+    def checked(name: str, comparison: DataFrame, error: str, kind: str) -> DataFrame:
+        gap = F.abs(F.col(CFG.price) - F.col("predicted"))
+        own = p.predictions(kind).rollup(CFG.commodity).agg(F.avg(gap).alias("own"))
+        own = own.withColumn("group_label", F.coalesce(CFG.commodity, F.lit(metrics.OVERALL)))
+        agrees = F.coalesce(F.abs(F.col("own") - F.col(error)) <= 0.005001, F.lit(False))
+        return comparison.join(own, "group_label", "left").select(
+            F.lit(name).alias("comparison"), "group_label", "n",
+            "mae_base", "rmse_base", "mape_pct_base", agrees.alias("agrees"),
+        )
+
+    return checked("direct", gbt_comparison(p), "mae_model", DIRECT).unionByName(
+        checked("three-way", gbt_three_way(p), "mae_resid", RESIDUAL)
+    )
+
+
+@query
+def gbt_importance_shares(p: Pipeline) -> DataFrame:
+    """Each model's features and the sum of their shares."""
+    shares = gbt_importance(p)
+    totals = shares.groupBy("model").agg(F.sum("gain_pct").alias("total_pct"))
+    return rounded(shares.select("model", "feature").join(totals, "model"), 4, "total_pct")
+
+
 @query
 def gbt_cross_check(p: Pipeline) -> DataFrame:
     """The direct model's logged errors beside those on the rows all models share."""
@@ -699,6 +735,25 @@ def run_log_roundtrip(p: Pipeline) -> DataFrame:
     return runlog.logged_metrics(records).drop("timestamp_utc", "run_id").unionByName(gains)
 
 
+@query
+def run_record_names(p: Pipeline) -> DataFrame:
+    """The names of all values in the run records, with the number of rows they are about."""
+    about = F.when(F.col("metric") == "n_test_overall", F.col("value"))
+    return run_log_roundtrip(p).select("model", "metric", about.alias("n_test"))
+
+
+@query
+def saved_row_counts(p: Pipeline) -> DataFrame:
+    """Rows of a saved table, and of one that is not there."""
+    path = p.stages.path("saved")
+    tables.write_baseline_predictions(forecast.naive_forecast(p.features, CFG), path)
+    counts = [
+        (name, tables.saved_row_count(p.spark, place, BASELINE_PREDICTIONS))
+        for name, place in (("saved", path), ("absent", f"{path}-absent"))
+    ]
+    return p.spark.createDataFrame(counts, "name string, n long")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query as a function of (spark, folder)."""
 

@@ -274,6 +274,14 @@ _SUFFIX = {"mae": "MAE", "rmse": "RMSE", "mape_pct": "MAPE_pct"}
 _HISTORY = MODEL_FEATURES[4:8]
 _DATE_KEYS = "state, commodity, price_date"
 
+# The test rows of the direct model, and those that all models share.
+TESTED = RESIDUAL + """, tested AS (SELECT * FROM split WHERE NOT is_train),
+  shared AS (SELECT * FROM residuals WHERE NOT is_train)"""
+# The features of both models; the residual model leaves out the prior price.
+USED = f"""WITH used AS (
+  SELECT 'DIRECT' AS model, unnest({list(MODEL_FEATURES)}) AS feature
+  UNION ALL SELECT 'RESIDUAL', unnest({list(MODEL_FEATURES[1:])}))"""
+
 ORACLE: dict[str, str] = {
     "coerce_dates_prices": VIEWS + """
         SELECT state, district_name, market_name, commodity, variety, grade,
@@ -704,6 +712,32 @@ ORACLE |= {
     "gbt_reconstruction": RESIDUAL + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "lag_1")}, true AS adds_up
         FROM residuals WHERE NOT is_train""",
+    "gbt_scored_rows": RESIDUAL + " UNION ALL ".join(
+        f"""SELECT {_DATE_KEYS}, '{model}' AS model, {rounded(4, "modal_price")},
+                   modal_price IS NOT NULL AS scored FROM {rows} WHERE NOT is_train"""
+        for model, rows in {"DIRECT": "split", "RESIDUAL": "residuals"}.items()
+    ),
+    "gbt_model_errors": TESTED + f""",
+        own AS ({errors("tested", "lag_1", "BASELINE")}),
+        common AS ({errors("shared", "lag_1", "BASELINE")})""" + " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS comparison, group_label, n, mae AS mae_base, rmse AS rmse_base,
+               mape_pct AS mape_pct_base, mae IS NOT NULL AS agrees FROM {rows}"""
+        for name, rows in {"direct": "own", "three-way": "common"}.items()
+    ),
+    "gbt_importance_shares": USED + """
+        SELECT model, feature, 100e0 AS total_pct FROM used""",
+    "run_record_names": TESTED + ", " + USED.removeprefix("WITH ") + f""",
+        labels AS (SELECT 'OVERALL' AS label UNION ALL SELECT DISTINCT commodity FROM shared),
+        models AS (SELECT DISTINCT model FROM used),
+        kinds AS (SELECT unnest({list(_SUFFIX.values())}) AS suffix)
+        SELECT model, concat_ws('_', model, label, suffix) AS metric,
+               cast(NULL AS double) AS n_test FROM models, labels, kinds
+        UNION ALL SELECT model, 'n_test_overall',
+                         cast((SELECT count(*) FROM shared) AS double) FROM models
+        UNION ALL SELECT model, concat('gain_pct ', feature), NULL FROM used""",
+    "saved_row_counts": NAIVE + """
+        SELECT 'saved' AS name, count(*) AS n FROM naive UNION ALL SELECT 'absent', NULL""",
     "io_roundtrip": NAIVE + f"""
         SELECT 'raw csv' AS stage, count(*) AS n,
                cast(sum(floor({r("try_cast(modal_price AS double)", 2)} * 100 + 0.5e0))

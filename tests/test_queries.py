@@ -7,6 +7,11 @@ from compare import differences, duck_connection
 from conftest import SMALL, plan
 
 import __spark_entry__ as entry_points
+from quotewell.config import TreeParams
+from quotewell.plans import catalogue
+
+# The registered queries train all trees; here the code around them is tested.
+catalogue.TREES = TreeParams(n_trees=20)
 
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
