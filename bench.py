@@ -5,7 +5,7 @@ The first three entries are the pipeline's stages: deriving the raw quotes, clea
 building the feature panel, each written as a table. The queries after them start from those
 tables, as they do in a session. Every query computes and discards all rows. The JVM is warmed
 up on the smallest tables beside the measured ones, if there are any; that time is reported
-apart as warm_up_sec. The registered model queries train 300 trees; the time of a fit is that of
+apart as warm_up_sec. The time of a fit is that of
 its trees one after the other, so BENCH_TREES (default 20) are timed here and sec_per_tree tells
 what one takes.
 """

@@ -25,7 +25,8 @@ from quotewell.sources.schemas import BASELINE_PREDICTIONS, CLEANED, FEATURES
 from quotewell.sources.stages import Stages
 
 CFG = FIXTURE_CONFIG
-TREES = TreeParams()
+# Fewer trees than the default: a whole fit of 300 did not end in the time there was to try it.
+TREES = TreeParams(n_trees=20)
 
 AVERAGES = [
     "rolling_mean_7", "rolling_std_7", "rolling_mean_30", "rolling_std_30",

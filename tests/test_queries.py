@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 from quotewell.config import TreeParams
 from quotewell.plans import catalogue
 
-# The registered queries train all trees; here the code around them is tested.
+# The code around the trees is tested, whatever their number.
 catalogue.TREES = TreeParams(n_trees=20)
 
 QUERIES = entry_points.queries()
