@@ -1,8 +1,9 @@
 """Near-duplicate vectors: iterative quantisation, multi-index Hamming tables, exact rerank.
 
 Unit vectors are projected on their principal axes and rotated so that signs lose least; the
-rotation alternates between codes and the best rotation for them. Several rotations from different
-starts give several codes. Each code is cut into substrings, and each substring is a table: two
+rotation alternates between codes and the best rotation for them. It is learnt about the mean of
+the sample, but the signs are those of the vectors themselves: a cosine bounds the angle of a pair
+about the origin only. Several rotations from different starts give several codes. Each code is cut into substrings, and each substring is a table: two
 vectors that agree on one substring meet in a bucket. There they are compared on all their codes,
 once per pair, and what is near enough is reranked by cosine on the original vectors.
 """
@@ -36,12 +37,12 @@ class Codes:
 
     def __init__(self, sample: np.ndarray, size: int, rotations: int):
         rng = np.random.default_rng(SEED + size)
-        self.mean = sample.mean(0) if len(sample) else np.zeros(size)
+        mean = sample.mean(0) if len(sample) else np.zeros(size)
         self.matrices = []
         for _ in range(rotations):
             turn = np.linalg.qr(rng.standard_normal((size, size)))[0]
             if len(sample) > size:
-                drawn = sample[rng.integers(0, len(sample), len(sample))] - self.mean
+                drawn = sample[rng.integers(0, len(sample), len(sample))] - mean
                 axes = np.linalg.svd(drawn, full_matrices=False)[2].T
                 flat = drawn @ axes
                 for _ in range(ROUNDS):
@@ -53,7 +54,7 @@ class Codes:
 
     def bits(self, unit: np.ndarray) -> np.ndarray:
         """(vectors, all bits), code after code."""
-        return np.concatenate([(unit - self.mean) @ m >= 0 for m in self.matrices], axis=1)
+        return np.concatenate([unit @ m >= 0 for m in self.matrices], axis=1)
 
 
 def substring_bits(vectors: int) -> int:

@@ -164,6 +164,29 @@ def test_vectors(spark, stages):
     assert all(found[i].kept and not found[i].n_links for i in range(301, 308))
 
 
+def test_vectors_with_a_common_mean():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((4000, 64))
+    x[:, 0] = 0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= np.sqrt(0.06)
+    x[:, 0] = np.sqrt(0.94)
+    bits = embedding_dedup.substring_bits(len(x))
+    tables = embedding_dedup.tables_for(bits, 0.93)
+    step = 64 // bits
+    codes = embedding_dedup.Codes(x, 64, -(-tables // step))
+    i, j = rng.integers(0, len(x), (2, 20_000))
+    near = ((x[i] * x[j]).sum(1) >= 0.93) & (i != j)
+    differ = codes.bits(x[i[near]]) != codes.bits(x[j[near]])
+    starts = [t // step * 64 + t % step * bits for t in range(tables)]
+    met = np.any([~differ[:, a:a + bits].any(1) for a in starts], axis=0)
+    chance = np.arccos(0.93) / np.pi
+    n = differ.shape[1]
+    limit = n * chance + embedding_dedup.SLACK * np.sqrt(n * chance * (1 - chance)) + 1
+    assert near.sum() > 10_000
+    assert np.mean(met & (differ.sum(1) <= int(limit))) >= 0.98
+
+
 def test_secrets(spark, docs):
     rng = np.random.default_rng(3)
     made = ["".join(rng.choice(list(string.ascii_letters + string.digits), 32)) for _ in range(300)]
