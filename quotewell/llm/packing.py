@@ -1,7 +1,9 @@
 """Packing of tokens into fixed windows with neighbours found by BM25.
 
-Documents are dealt at random to shards of bounded size. Whole windows of a document are sequences
-of their own. The rests are indexed by token in the shard: each seed, longest first, asks the
+Whole windows of a document are sequences of their own. The rests are dealt by content to shards of
+bounded size: they are put in order of their rarest tokens and the order is cut into shards, so that
+rests with the same rare tokens meet at every size of the corpus. Document frequencies are counted
+over the whole corpus. The rests are indexed by token in the shard: each seed, longest first, asks the
 inverted index for its unused neighbours, which fill the seed's window in order of their score; the
 last one is cut where the window ends and its remainder goes back to the pool. So every window is
 full but the last of a shard, which is cut into powers of two and needs no padding either.
@@ -9,8 +11,11 @@ full but the last of a shard, which is cut into powers of two and needs no paddi
 
 from __future__ import annotations
 
+import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quotewell.llm.bpe import chunk_encoder, slices
 from quotewell.llm.common import whole_text
+from quotewell.sources.stages import Stages
 
 WINDOW = 2048
 END_ID = 1
@@ -28,8 +34,15 @@ QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 SCATTER = 0x9E3779B97F4A7C15  # fixed odd factor that spreads consecutive numbers
 
-DEALT = ("shard long, id string, start long, length long, ids_crc32 long, doc_tokens long, "
-         "rest binary")
+KEY_TERMS = 4
+PLACE_TERMS = 3
+NO_TERM = 0xFFFFFFFF
+SAMPLED = 64  # rests a shard, to cut the order where shards end
+ROW_TOKENS = 64  # what a rest counts besides its tokens when shards are cut
+
+CUT = ("salt long, id string, start long, length long, ids_crc32 long, doc_tokens long, "
+       "rest binary")
+DEALT = CUT.replace("salt", "shard")
 PIECES = ("id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, ids array<int>")
 
@@ -38,10 +51,81 @@ def ids_crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def unpack(packed: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(packed, "<u2" if len(packed) == 2 * length else "<u4")
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """What BM25 knows of all rests: in how many each token is, their number and mean length."""
+
+    df: np.ndarray
+    rests: int
+    mean: float
+
+
+def counted(rests: Iterator[np.ndarray]) -> tuple[np.ndarray, int, int]:
+    """Rests that hold each token, number of rests, number of tokens."""
+    df, n, tokens = np.zeros(1, np.int64), 0, 0
+    for rest in rests:
+        terms = np.unique(rest)
+        if terms[-1] >= len(df):
+            df = np.concatenate([df, np.zeros(int(terms[-1]) + 1, np.int64)])
+        df[terms] += 1
+        n, tokens = n + 1, tokens + len(rest)
+    return df, n, tokens
+
+
+class Order:
+    """The order in which rests are dealt.
+
+    The key of a rest is its rarest tokens that some other rest has as well. Rests with the same
+    rarest token stay together, and where they stand among the others is told by the rarest tokens
+    that are common enough to fill a shard: those of the least of them. A hot key is cut by the
+    salt of its rows.
+    """
+
+    def __init__(self, corpus: Corpus, shards: int):
+        by_df = np.argsort(corpus.df, kind="stable")
+        self.rank = np.empty(len(by_df), np.int64)
+        self.rank[by_df] = np.arange(len(by_df))
+        ordered = corpus.df[by_df]
+        self.least = int(np.searchsorted(ordered, 2))
+        self.common = int(np.searchsorted(ordered, max(2, -(-corpus.rests // shards))))
+
+    def key(self, rest: np.ndarray) -> tuple[bytes, bytes]:
+        """The place that the rest would have by itself, and its key, as bytes in their order."""
+        ranks = np.sort(self.rank[np.unique(rest)])
+
+        def rarest(least: int, terms: int) -> bytes:
+            at = np.searchsorted(ranks, least)
+            out = np.full(terms, NO_TERM, ">u4")
+            chosen = ranks[at:at + terms]
+            out[:len(chosen)] = chosen
+            return out.tobytes()
+
+        return rarest(self.common, PLACE_TERMS), rarest(self.least, KEY_TERMS)
+
+
+def full_key(places: dict[bytes, bytes], key: bytes, salt: int) -> bytes:
+    return places[key[:4]] + key + salt.to_bytes(8, "big")
+
+
+def cuts(keys: list[bytes], weights: list[int], shards: int) -> list[bytes]:
+    """Keys from which the next shard begins; shards are even in the weights of the sample."""
+    if not keys:
+        return []
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    before = np.cumsum([0, *(weights[i] for i in order)])[:-1]
+    shard = before * shards // sum(weights)
+    begins = np.searchsorted(shard, np.arange(1, shards))
+    return [keys[order[i]] for i in begins if i < len(order)]
+
+
 class Index:
-    """BM25 inverted index over the tokens of one shard's rests."""
+    """BM25 inverted index over the tokens of one shard's rests, weighted by the whole corpus."""
 
-    def __init__(self, rests: list[np.ndarray]):
+    def __init__(self, rests: list[np.ndarray], corpus: Corpus):
         sizes = np.array([len(r) for r in rests], np.int64)
         terms = np.concatenate(rests).astype(np.int64)
         docs = np.repeat(np.arange(len(rests)), sizes)
@@ -51,8 +135,9 @@ class Index:
             pairs // len(rests), return_index=True, return_counts=True
         )
         self.begin, self.end = begin, begin + df
-        idf = np.log(1 + (len(rests) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * sizes / sizes.mean())
+        everywhere = corpus.df[names]
+        idf = np.log(1 + (corpus.rests - everywhere + 0.5) / (everywhere + 0.5))
+        norm = K1 * (1 - B + B * sizes / corpus.mean)
         rows = np.repeat(np.arange(len(names)), df)
         self.weight = idf[rows] * counts * (K1 + 1) / (counts + norm[self.docs])
         # Each document asks for its rarest terms that some other one has as well.
@@ -78,11 +163,13 @@ class Index:
         return found[np.argsort(-scores[found], kind="stable")]
 
 
-def fill(rests: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
+def fill(
+    rests: list[np.ndarray], corpus: Corpus, window: int = WINDOW
+) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (rest, start, length); all but the last ones hold ``window`` tokens."""
     if not rests:
         return []
-    index = Index(rests)
+    index = Index(rests, corpus)
     sizes = np.array([len(r) for r in rests], np.int64)
     used = np.zeros(len(rests), np.int64)
     order = np.argsort(-sizes, kind="stable")
@@ -149,6 +236,7 @@ def pack(
     end_id: int = END_ID,
     shard_bytes: int = SHARD_BYTES,
     ids_col: str | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -156,7 +244,7 @@ def pack(
     texts are the end id alone. Sequences have at most ``window`` ids (a power of two), each id is
     in exactly one piece, and offsets in a sequence have no gaps. Repeated rows are packed each.
     ``ids_col`` names a further column with the ids of the piece. Other columns are ignored.
-    Without rows the result is empty.
+    Tokens and keys are stage tables. Without rows the result is empty.
     """
     if window & (window - 1) or window < 1:
         raise ValueError("window must be a power of two")
@@ -165,7 +253,9 @@ def pack(
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(1))).first()[0]
     shards = -(-size // shard_bytes)
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    stages = stages or Stages(docs.sparkSession)
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(tokenizer)
         row = (TaskContext.get().partitionId() << 40) if TaskContext.get() else 0
         end = np.array([end_id], np.int32)
@@ -175,25 +265,92 @@ def pack(
                 for name, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     ids = np.concatenate([encoder.ids(text), end])
                     row += 1
-                    shard = (row * SCATTER % (1 << 64)) * shards >> 64
+                    salt = row * SCATTER % (1 << 64) >> 1
                     whole = len(ids) // window * window
                     for start in range(0, whole, window):
-                        out.append((shard, name, start, window,
+                        out.append((salt, name, start, window,
                                     ids_crc(ids[start:start + window]), len(ids),
                                     ids[start:start + window].astype("<u4").tobytes()
                                     if ids_col else None))
                     if whole < len(ids):
                         rest = ids[whole:].astype("<u4" if ids.max() >> 16 else "<u2")
-                        out.append((shard, name, whole, len(rest), None, len(ids), rest.tobytes()))
-                names = [f.split()[0] for f in DEALT.split(", ")]
+                        out.append((salt, name, whole, len(rest), None, len(ids), rest.tobytes()))
+                names = [f.split()[0] for f in CUT.split(", ")]
                 types = [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names,
                 )
 
-    def unpack(packed: bytes, length: int) -> np.ndarray:
-        return np.frombuffer(packed, "<u2" if len(packed) == 2 * length else "<u4")
+    def unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for rest, length in zip(batch.column("rest").to_pylist(),
+                                batch.column("length").to_pylist(), strict=True):
+            yield unpack(rest, length)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = counted(rest for batch in batches for rest in unpacked(batch))
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1, -2, *held.tolist()], pa.int64()),
+             pa.array([n, tokens, *df[held].tolist()], pa.int64())], ["token", "n"])
+
+    parts = stages.write(rows.mapInArrow(cut_up, CUT), "pack-tokens")
+    rests = parts.where("ids_crc32 is null").select("salt", "length", "rest")
+    # One row per token of the vocabulary.
+    counts = (rests.mapInArrow(count, "token long, n long").groupBy("token")
+              .agg(F.sum("n").alias("n")).toArrow())
+    totals = dict(zip(counts["token"].to_pylist(), counts["n"].to_pylist(), strict=True))
+    n_rests, tokens = totals.pop(-1, 0), totals.pop(-2, 0)
+    df = np.zeros(max(totals, default=0) + 1, np.int64)
+    df[list(totals)] = list(totals.values())
+    corpus = Corpus(df, n_rests, tokens / max(1, n_rests))
+    order = Order(corpus, shards)
+    known = docs.sparkSession.sparkContext.broadcast((corpus, order))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = known.value[1]
+        for batch in batches:
+            made = [order.key(rest) for rest in unpacked(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("salt"), batch.column("length"),
+                 pa.array([place for place, _ in made], pa.binary()),
+                 pa.array([key for _, key in made], pa.binary())],
+                ["salt", "length", "place", "key"])
+
+    keyed = stages.write(
+        rests.mapInArrow(place, "salt long, length long, place binary, key binary"), "pack-keys"
+    )
+    # The rarest token alone: again one row per token at most.
+    least = keyed.groupBy(F.substring("key", 1, 4).alias("term")).agg(F.min("place").alias("place"))
+    places = {bytes(r.term): bytes(r.place) for r in least.toLocalIterator()}
+    share = min(1.0, SAMPLED * shards / max(1, n_rests))
+    sample = keyed.where(F.pmod(F.xxhash64("salt"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    drawn = sample.select("salt", "length", "key").toArrow()
+    bounds = cuts(
+        [full_key(places, key, salt) for key, salt in
+         zip(drawn["key"].to_pylist(), drawn["salt"].to_pylist(), strict=True)],
+        [n + ROW_TOKENS for n in drawn["length"].to_pylist()], shards,
+    )
+    dealing = docs.sparkSession.sparkContext.broadcast((places, bounds))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = known.value[1]
+        places, bounds = dealing.value
+        for batch in batches:
+            shard = []
+            for salt, length, crc, rest in zip(
+                *(batch.column(c).to_pylist() for c in ("salt", "length", "ids_crc32", "rest")),
+                strict=True,
+            ):
+                if crc is not None:  # a whole window needs no neighbours
+                    shard.append(salt * shards >> 63)
+                else:
+                    key = order.key(unpack(rest, length))[1]
+                    shard.append(bisect_right(bounds, full_key(places, key, salt)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int64()), *batch.columns[1:]],
+                ["shard", *batch.schema.names[1:]],
+            )
 
     def fill_shard(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: (r["id"] or "", r["start"], r["rest"] or b""))
@@ -208,7 +365,7 @@ def pack(
             out.append((r["id"], r["start"], window, r["ids_crc32"], r["doc_tokens"], number, 0,
                         ids))
             number += 1
-        for sequence in fill(rests, window):
+        for sequence in fill(rests, known.value[0], window):
             offset = 0
             for doc, start, length in sequence:
                 r, ids = cut[doc], rests[doc][start:start + length]
@@ -222,7 +379,7 @@ def pack(
             [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names
         )
 
-    packed = rows.mapInArrow(deal, DEALT).groupBy("shard").applyInArrow(fill_shard, PIECES)
+    packed = parts.mapInArrow(deal, DEALT).groupBy("shard").applyInArrow(fill_shard, PIECES)
     columns = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return packed.select(
         F.col("id").cast(kind).alias(id_col), *columns,

@@ -141,6 +141,27 @@ def test_packing(docs, none):
     assert packing.pack(none, path).count() == 0
 
 
+def test_packing_finds_planted_neighbours(spark):
+    rng = np.random.default_rng(4)
+    names = ["".join(rng.choice(list("bcdfghklmnprstvz"), 7)) for _ in range(1200)]
+    common = ["the", "of", "and", "to", "in", "is", "that", "for", "was", "with"]
+
+    def text(own):
+        return " ".join(str(rng.choice(own if rng.random() < 0.5 else common)) for _ in range(80))
+
+    # Sixty groups of four that share twenty names each, group after group apart.
+    texts = [(k, text(names[20 * (k % 60):20 * (k % 60) + 20])) for k in range(240)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(frame, path, window=1024, shard_bytes=9_000).collect()
+    held: dict[int, set[int]] = {}
+    for p in pieces:
+        held.setdefault(p.doc_id, set()).add(p.sequence_id)
+    assert len({p.sequence_id >> 32 for p in pieces}) >= 8
+    together = [bool(held[a] & held[b]) for a in range(240) for b in range(a + 60, 240, 60)]
+    assert np.mean(together) >= 0.5
+
+
 def test_vectors(spark, stages):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
