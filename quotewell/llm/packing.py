@@ -30,7 +30,7 @@ from quotewell.sources.stages import Stages
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 3 << 20
-QUERY_TERMS = 24
+DENSE_SHARE = 8  # a token in one of so many rests of a shard has a dense row of weights
 K1, B = 1.2, 0.75
 SCATTER = 0x9E3779B97F4A7C15  # fixed odd factor that spreads consecutive numbers
 
@@ -140,25 +140,32 @@ class Index:
         norm = K1 * (1 - B + B * sizes / corpus.mean)
         rows = np.repeat(np.arange(len(names)), df)
         self.weight = idf[rows] * counts * (K1 + 1) / (counts + norm[self.docs])
-        # Each document asks for its rarest terms that some other one has as well.
-        shared = df[rows] > 1
-        by_doc = np.lexsort((df[rows], ~shared, self.docs))
-        first = np.searchsorted(self.docs[by_doc], np.arange(len(rests)))
-        last = np.minimum(first + QUERY_TERMS,
-                          first + np.bincount(self.docs[shared], minlength=len(rests)))
-        self.asked = [rows[by_doc[a:b]] for a, b in zip(first, last, strict=True)]
+        # Each document asks for all its terms that some other one has as well. Common terms have
+        # dense rows, which add up faster than their postings.
+        common = df * DENSE_SHARE > len(rests)
+        row_of = np.cumsum(common) - 1
+        self.dense = np.zeros((int(common.sum()), len(rests)))
+        at = common[rows]
+        self.dense[row_of[rows[at]], self.docs[at]] = self.weight[at]
+        self.asked = self._by_doc(np.flatnonzero((df[rows] > 1) & ~at), rows, len(rests))
+        self.asked_dense = self._by_doc(np.flatnonzero((df[rows] > 1) & at), row_of[rows],
+                                        len(rests))
         self.size = len(rests)
 
+    def _by_doc(self, postings: np.ndarray, terms: np.ndarray, size: int) -> list[np.ndarray]:
+        """The terms of the given postings, document by document."""
+        by_doc = postings[np.argsort(self.docs[postings], kind="stable")]
+        return np.split(terms[by_doc], np.searchsorted(self.docs[by_doc], np.arange(1, size)))
+
     def neighbours(self, seed: int) -> np.ndarray:
         """Documents that share a term with ``seed``, best first; ties by number."""
-        asked = self.asked[seed]
-        if not len(asked):
-            return np.empty(0, np.int64)
-        spans = [slice(self.begin[t], self.end[t]) for t in asked]
-        scores = np.bincount(
-            np.concatenate([self.docs[s] for s in spans]),
-            np.concatenate([self.weight[s] for s in spans]), self.size,
-        )
+        scores = self.dense[self.asked_dense[seed]].sum(0)
+        spans = [slice(self.begin[t], self.end[t]) for t in self.asked[seed]]
+        if spans:
+            scores += np.bincount(
+                np.concatenate([self.docs[s] for s in spans]),
+                np.concatenate([self.weight[s] for s in spans]), self.size,
+            )
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]
 

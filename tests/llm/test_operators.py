@@ -162,6 +162,26 @@ def test_packing_finds_planted_neighbours(spark):
     assert np.mean(together) >= 0.5
 
 
+def test_packing_scores_with_all_terms():
+    rng = np.random.default_rng(8)
+    # Thirty rare terms of the seed are in one short rest; the others share common terms only.
+    rests = [np.concatenate([np.arange(30), np.arange(100, 160), [1]]),
+             np.concatenate([np.arange(30), [1]])]
+    rests += [np.concatenate([rng.choice(np.arange(100, 160), 40, False), [1]]) for _ in range(30)]
+    df, n, tokens = packing.counted(rests)
+    corpus = packing.Corpus(df, n, tokens / n)
+    found = packing.Index(rests, corpus).neighbours(0).tolist()
+    scores = {}
+    for other, rest in enumerate(rests):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(rest) / corpus.mean)
+        scores[other] = sum(
+            np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * (rest == t).sum() * (packing.K1 + 1)
+            / ((rest == t).sum() + norm) for t in np.unique(rests[0]) if df[t] > 1 and t in rest)
+    assert set(found) == {other for other, score in scores.items() if score}
+    ranked = [scores[other] for other in found]
+    assert all(a >= b - 1e-9 for a, b in zip(ranked, ranked[1:], strict=False))
+
+
 def test_vectors(spark, stages):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
