@@ -2,13 +2,14 @@
 
 Two order-2 character models, one of random strings and one of ordinary identifiers, are trained
 from labelled samples. A long token is a secret if its log-likelihood ratio per character passes a
-threshold that lies above nearly all ordinary samples.
+threshold that lies above nearly all ordinary samples. In name=value the parts are rated by
+themselves, and so is what a fixed form leaves of a token.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
@@ -28,9 +29,13 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(rb"[0-9a-f]{32,}")
-TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
+TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
+# Parts of a token: '=' separates, but for one or two at its end; and words of such a part.
+PART = re.compile(rb"[A-Za-z0-9+/_-]+(?:={1,2}(?!.))?", re.DOTALL)
+WORD = re.compile(rb"[A-Za-z0-9]+=*")
 LEAST_VALUE = 8
 LEAST_TOKEN = 20
+LEAST_SHORT = 16  # shorter than that is not rated; below LEAST_TOKEN by a threshold of its own
 
 SYMBOLS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SIZE = len(SYMBOLS) + 2  # and a symbol for the start, and one for any other byte
@@ -96,12 +101,28 @@ def markov(samples: list[bytes]) -> np.ndarray:
 class Detector:
     ratio: np.ndarray  # log likelihood as a random string less that as an identifier
     threshold: float  # per character
+    short: float  # the same for tokens below LEAST_TOKEN
 
     def strength(self, token: bytes) -> float:
         return float(self.ratio[_codes(token)].mean())
 
     def is_secret(self, token: bytes) -> bool:
-        return self.strength(token) >= self.threshold
+        if len(token) < LEAST_SHORT or (len(token) < LEAST_TOKEN and token.isdigit()):
+            return False  # a plain number of 16 to 19 digits is no random string
+        bound = self.threshold if len(token) >= LEAST_TOKEN else self.short
+        return self.strength(token) >= bound
+
+    def secrets(self, token: bytes) -> list[tuple[int, int]]:
+        """Spans of the parts of ``token`` that are secrets, or of words of them; if there are
+        none, of the whole token if it is one."""
+        found = []
+        for part in PART.finditer(token):
+            if self.is_secret(part.group()):
+                found.append(part.span())
+            else:
+                found += [(part.start() + w.start(), part.start() + w.end())
+                          for w in WORD.finditer(part.group()) if self.is_secret(w.group())]
+        return found or ([(0, len(token))] if self.is_secret(token) else [])
 
 
 def train(random_strings: list[bytes], identifiers: list[bytes]) -> Detector | None:
@@ -109,10 +130,14 @@ def train(random_strings: list[bytes], identifiers: list[bytes]) -> Detector | N
     if not random_strings or not identifiers:
         return None
     ratio = markov(random_strings) - markov(identifiers)
-    plain = Detector(ratio, 0.0)
-    rated = [plain.strength(token) for token in identifiers if len(token) >= LEAST_TOKEN]
-    bound = float(np.quantile(rated, 1 - FALSE_SHARE)) if rated else LEAST_RATIO
-    return Detector(ratio, max(LEAST_RATIO, bound))
+    plain = Detector(ratio, 0.0, 0.0)
+
+    def bound(tokens: list[bytes]) -> float:
+        rated = [plain.strength(token) for token in tokens]
+        return max(LEAST_RATIO, float(np.quantile(rated, 1 - FALSE_SHARE)) if rated else 0.0)
+
+    return Detector(ratio, bound([t for t in identifiers if len(t) >= LEAST_TOKEN]),
+                    bound([t for t in identifiers if LEAST_SHORT <= len(t) < LEAST_TOKEN]))
 
 
 def labelled_strings(texts: Iterator[str]) -> tuple[list[bytes], list[bytes]]:
@@ -165,7 +190,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dete
 def find(text: str, detector: Detector | None) -> list[tuple[str, int, int]]:
     """All spans in code points, by start, then kind; end exclusive.
 
-    Fixed forms first; then each long token that touches none of them and is a secret.
+    Fixed forms first; then the secrets in each long token, or in what they leave of it.
     """
     raw = text.encode("utf-8", "replace")
     found = base_spans(raw)
@@ -175,11 +200,12 @@ def find(text: str, detector: Detector | None) -> list[tuple[str, int, int]]:
         reach = list(accumulate((end for _, end in taken), max))
         for m in TOKEN.finditer(raw):
             start, end = m.span()
-            before = bisect_left(starts, end)  # spans that start before the token ends
-            if before and reach[before - 1] > start:
-                continue
-            if detector.is_secret(m.group()):
-                found.append(("markov", start, end))
+            # Spans that end after the token starts and start before it ends.
+            for low, high in [*taken[bisect_right(reach, start):bisect_left(starts, end)],
+                              (end, end)]:
+                found += [("markov", start + a, start + b)
+                          for a, b in detector.secrets(raw[start:low])]
+                start = max(start, high)
     if found and len(raw) != len(text):
         begins = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
         before = np.concatenate([[0], begins])

@@ -247,6 +247,31 @@ def test_secrets(spark, docs):
     assert rows[0].clean.startswith('é password: tok [assign]" [markov] [access]')
 
 
+def test_secrets_beside_names():
+    rng = np.random.default_rng(3)
+
+    def key(n):
+        return "".join(rng.choice(list(string.ascii_letters + string.digits), n))
+
+    plain = [f"{a}_{b}_{c}".encode() for a in ("azure", "client", "session", "aws", "storage")
+             for b in ("account", "credential", "key", "client", "reader")
+             for c in ("name", "holder", "session", "value", "number")]
+    plain += [p.upper() for p in plain]
+    detector = secret_scan.train([key(32).encode() for _ in range(500)], plain)
+    for n in (16, 18, 24, 32):
+        for name in ("AZURE_STORAGE_ACCOUNT_KEY", "AWS_SESSION_CREDENTIAL", "client_credential"):
+            made = [key(n) for _ in range(50)]
+            hits = [("markov", len(name) + 1, len(name) + 1 + n)
+                    in secret_scan.find(f"{name}={m}", detector) for m in made]
+            assert np.mean(hits) >= 0.9, (n, name)
+    beside = f"{'0f' * 16}_{key(32)}"
+    assert [k for k, _, _ in secret_scan.find(beside, detector)] == ["hex", "markov"]
+    padded = key(30) + "=="
+    assert secret_scan.find(padded, detector) == [("markov", 0, 32)]
+    assert not any(secret_scan.find(f"{p.decode()}={q.decode()}", detector)
+                   for p, q in zip(plain, plain[1:], strict=False))
+
+
 def test_classifiers(spark, docs, none):
     bad = [(f"{w} " * 40, 0) for w in ("spam", "junk", "buy")] * 10
     good = [(" ".join(f"w{(i * k) % 97}" for i in range(60)), 1) for k in range(1, 31)]
