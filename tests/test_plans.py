@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import importlib.util
+
 import pytest
 from conftest import SMALL, plan
 
+from quotewell.config import TreeParams
 from quotewell.operators import cleaning, forecast, panel
+from quotewell.plans import catalogue
 from quotewell.plans.catalogue import CFG, pipeline_for
 
 
@@ -54,3 +58,11 @@ def test_folders_get_few_files(spark, pipeline):
     folders = written.select(CFG.commodity).distinct().count()
     assert len(written.inputFiles()) <= folders + 4  # not folders times tasks
     assert written.count() == scattered.count()
+
+
+def test_registered_models_train_all_trees():
+    # A fresh copy: other tests set fewer trees in the module.
+    found = importlib.util.spec_from_file_location("fresh_catalogue", catalogue.__file__)
+    fresh = importlib.util.module_from_spec(found)
+    found.loader.exec_module(fresh)
+    assert fresh.TREES == TreeParams() and TreeParams().n_trees == 300
