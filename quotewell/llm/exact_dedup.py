@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewell.llm.common import ascii_lower, whole_text, without_ids
+from quotewell.llm.common import ascii_lower, free_name, whole_text
 from quotewell.sources.stages import Stages
 
 PREFIX_CHARS = 64
@@ -88,8 +88,23 @@ def drop_copies(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`exact_dedup` keeps.
 
-    Rows that repeat a kept id and its text stay; rows without an id stay.
+    Rows go by id and text, since an id may be repeated with another text. Of rows that repeat a
+    kept id and its text any one stays; rows without an id stay.
     """
     found = exact_dedup(docs, stages, id_col, text_col)
-    dropped = stages.write(found.where(~F.col("kept")).select(id_col), "dedup-dropped")
-    return without_ids(docs, dropped, id_col)
+    full = free_name(docs, "full_hash")
+    gone, same = free_name(docs, "dropped_id"), free_name(docs, "dropped_hash")
+    # Single rows have no hash; copies all have one.
+    counts = stages.write(
+        found.where(F.col(id_col).isNotNull() & F.col("text_sha256").isNotNull())
+        .groupBy(F.col(id_col).alias(gone), F.col("text_sha256").alias(same))
+        .agg(F.min("kept").alias("kept"), F.count("*").alias("rows"))
+        .where("not kept or rows > 1"),
+        "dedup-dropped",
+    )
+    rows = docs.withColumn(full, F.sha2(ascii_lower(whole_text(text_col)), 256))
+    keys = counts.select(gone, same)
+    match = (F.col(id_col) == F.col(gone)) & (F.col(full) == F.col(same))
+    repeated = counts.where("kept").select(gone, same)
+    once = rows.join(repeated, match, "left_semi").dropDuplicates([id_col, full])
+    return rows.join(keys, match, "left_anti").unionByName(once).select(*docs.columns)

@@ -67,6 +67,13 @@ def test_exact(docs, none, stages):
     assert exact_dedup.exact_dedup(none, stages).count() == 0
 
 
+def test_exact_with_repeated_ids(spark, stages):
+    rows = [(5, "A one"), (5, "B two"), (9, "B two"), (7, "C"), (7, "C"), (8, "D")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(tuple(r) for r in exact_dedup.drop_copies(frame, stages).collect())
+    assert kept == [(5, "A one"), (7, "C"), (8, "D"), (9, "B two")]
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "</s> \\1 <s>"),
