@@ -53,3 +53,65 @@ SELECT conv_id,
   cast(max(CASE WHEN conflict THEN 1 ELSE 0 END) AS integer) AS escape_level
 FROM sized GROUP BY conv_id
 """
+
+# CRC-32 of a string of digits and minus signs, bit by bit.
+_CRC32 = f"""xor(4294967295, list_reduce(
+  list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''),
+              lambda s: ascii(s)::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z:
+    xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))))"""
+
+# Each node's subtree is the set of nodes whose smallest member passes through it, from its depth
+# on.
+ORACLE["op12_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                       coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT c, {_CRC32} % 6 AS h, c - c % 100 AS base FROM (SELECT DISTINCT c FROM turns)
+),
+rebuilt AS (
+  SELECT v.c, 0 AS own, t.pos, t.role, t.text
+  FROM convs v JOIN turns t ON t.c = v.base AND t.pos <= v.h
+  UNION ALL
+  SELECT v.c, 1, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.pos > v.h
+),
+placed AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS depth,
+    sha256(concat(length(role), ':', role, text)) AS turn, length(text) AS chars
+  FROM rebuilt
+),
+paths AS (
+  SELECT c, depth, chars, sha256(string_agg(turn, '') OVER (PARTITION BY c ORDER BY depth)) AS k
+  FROM placed
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+),
+tagged AS (
+  SELECT p.*, lag(k) OVER (PARTITION BY c ORDER BY depth) AS above,
+    depth = max(depth) OVER (PARTITION BY c) AS is_end
+  FROM paths p
+),
+nodes AS (
+  SELECT depth, k, min(c) AS conv_id, count(*) AS n_convs, any_value(above) AS above,
+    any_value(chars) AS chars,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256
+  FROM tagged GROUP BY depth, k
+),
+kids AS (SELECT depth - 1 AS depth, above AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, k)
+),
+totals AS (
+  SELECT p.depth, p.k, count(*) FILTER (y.n_children = 0) AS n_leaves,
+    sum((y.n_convs - 1) * y.chars) AS saved_tokens
+  FROM counted y JOIN paths p ON p.c = y.conv_id AND p.depth <= y.depth
+  GROUP BY p.depth, p.k
+)
+SELECT x.conv_id, x.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, x.n_convs, x.n_children,
+  t.n_leaves, t.saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM counted x JOIN totals t USING (depth, k)
+LEFT JOIN nodes up ON up.depth = x.depth - 1 AND up.k = x.above
+"""

@@ -15,6 +15,7 @@ from quotewell.llm import (
     exact_dedup,
     minhash,
     packing,
+    prefix_trie,
     quality,
     secret_scan,
     substring_dedup,
@@ -150,3 +151,15 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), Stages(spark))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stages = Stages(spark)
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"), stages)
+    conv = F.col("conv_id")
+    rebuilt, sizes = prefix_trie.with_shared_heads(
+        turns, base=conv - conv % 100,
+        taken=F.crc32(conv.cast("string").cast("binary")) % 6, most=5, stages=stages,
+    )
+    return prefix_trie.prefix_trie(rebuilt, sizes, stages)
