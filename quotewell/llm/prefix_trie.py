@@ -278,8 +278,11 @@ def prefix_trie(
     ``turns`` are ordered turns (conv_id, pos, t1, t2, chars), ``sizes`` has one row per
     conversation with its number of turns, zero included. ``conv_id`` is the smallest member;
     the root has depth 0 and no parent. Without conversations the result is empty. Turns count as
-    equal by 120 bits of a SHA-256 of role and text, prefixes by 128 bits.
+    equal by 120 bits of a SHA-256 of role and text, prefixes by 128 bits. A band has at least
+    two levels.
     """
+    if height < 2:
+        raise ValueError("the height of a band is at least 2")
     paths = prefix_keys(turns, stages)
     root = sizes.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where(
         "n_convs > 0")

@@ -20,6 +20,7 @@ from quotewell.llm import (
     secret_scan,
     substring_dedup,
     toxicity,
+    whitening,
 )
 from quotewell.llm.labelled import fit_sample, fold
 from quotewell.sources.stages import Stages
@@ -163,3 +164,18 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         taken=F.crc32(conv.cast("string").cast("binary")) % 6, most=5, stages=stages,
     )
     return prefix_trie.prefix_trie(rebuilt, sizes, stages)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows, model, error = whitening.whiten(vectors, Stages(spark))
+    explained = F.array(*[F.lit(x).cast("double") for x in (model.explained() if model else [])])
+    return rows.select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")
+    ).select(
+        "vec_id", (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained.cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
