@@ -36,13 +36,58 @@ def fit_sample(
     A repeated document id is used once, with its longest text, the greatest if tied.
     """
     chosen = stages.write(
+        _agreed(labels, label_col, training, id_col)
+        .orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("id", "label"),
+        f"fit-{label_col}",
+    )
+    return _texts(docs, chosen, id_col, text_col, fit_chars)
+
+
+def balanced_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label_col: str,
+    training: Column,
+    stages: Stages,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    fit_rows: int = FIT_ROWS,
+    fit_chars: int = FIT_CHARS,
+) -> tuple[list[tuple[str, int]], tuple[float, float]]:
+    """As ``fit_sample``, with up to half of the rows from each label, 0 and 1.
+
+    A rare label is in the sample as long as any training document has it. Also returned: the
+    shares of both labels among all labelled training documents.
+    """
+    agreed = stages.write(
+        _agreed(labels, label_col, training, id_col).where("label IN (0, 1)")
+        .select("id", F.col("label").cast("int").alias("label")),
+        f"agreed-{label_col}",
+    )
+    sizes = {row.label: row["count"] for row in agreed.groupBy("label").count().collect()}
+    total = max(1, sum(sizes.values()))
+    parts = [
+        agreed.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(fit_rows // 2)
+        for label in (0, 1)
+    ]
+    chosen = stages.write(parts[0].unionByName(parts[1]), f"fit-{label_col}")
+    shares = (sizes.get(0, 0) / total, sizes.get(1, 0) / total)
+    return _texts(docs, chosen, id_col, text_col, fit_chars), shares
+
+
+def _agreed(labels: DataFrame, label_col: str, training: Column, id_col: str) -> DataFrame:
+    """Training ids that all their label rows agree on."""
+    return (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & training)
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.min(label_col).alias("label"), F.max(label_col).alias("other"))
         .where("label = other")
-        .orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("id", "label"),
-        f"fit-{label_col}",
     )
+
+
+def _texts(
+    docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, fit_chars: int
+) -> list[tuple[str, int]]:
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     found = (
         texts.where(F.char_length("text") <= fit_chars).join(chosen, "id")

@@ -13,6 +13,7 @@ from quotewell.llm import (
     chat,
     embedding_dedup,
     exact_dedup,
+    line_quality,
     minhash,
     packing,
     prefix_trie,
@@ -22,7 +23,7 @@ from quotewell.llm import (
     toxicity,
     whitening,
 )
-from quotewell.llm.labelled import fit_sample, fold
+from quotewell.llm.labelled import balanced_sample, fit_sample, fold
 from quotewell.sources.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +180,15 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(explained.cast("array<double>"), F.col("at")).alias("explained"),
         F.lit(error).cast("double").alias("identity_error"),
     )
+
+
+@query
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample, shares = balanced_sample(
+        docs, table(spark, sf_dir, "labels"), "quality", fold("doc_id", 3) != 1, Stages(spark))
+    found = line_quality.label_lines(docs, line_quality.fit(sample, shares))
+    return found.select(
+        "doc_id", *line_quality.COUNTS, "base_failed", "kept", "content_share",
+        F.size("boilerplate").cast("bigint").alias("n_boilerplate_lines"),
+    )
