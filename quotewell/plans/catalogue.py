@@ -26,6 +26,8 @@ from quotewell.sources.stages import Stages
 
 CFG = FIXTURE_CONFIG
 TREES = TreeParams()
+RESUMED = TreeParams(n_trees=15)
+STUMP_STEP, STUMP_BANDS = 5000, 20
 
 AVERAGES = [
     "rolling_mean_7", "rolling_std_7", "rolling_mean_30", "rolling_std_30",
@@ -708,6 +710,54 @@ def gbt_importance_shares(p: Pipeline) -> DataFrame:
     return rounded(shares.select("model", "feature").join(totals, "model"), 4, "total_pct")
 
 
+@query
+def gbt_resume(p: Pipeline) -> DataFrame:
+    """Test rows, and the gap between a fit in one go and one stopped after its first round."""
+    train = p.stages.once("resume-train", lambda: p.split.where("is_train").select(
+        CFG.price, *CFG.model_features))
+    folder = p.stages.path("resume")
+
+    def fitted(name: str, stop_after: int | None = None):
+        return forecast.fit_trees(
+            train, CFG.price, CFG.model_features, CFG, RESUMED, name, f"{folder}/{name}",
+            trees_per_round=RESUMED.n_trees // 3, stop_after=stop_after,
+        )
+
+    whole = fitted("whole")
+    stopped = fitted("resumed", stop_after=1)
+    kept = F.lit(len(forecast.saved_rounds(p.spark, f"{folder}/resumed")))
+    rows = p.split.where("NOT is_train")
+    both = forecast.predict(
+        fitted("resumed"), forecast.predict(whole, rows, CFG.model_features, CFG),
+        CFG.model_features, CFG,
+    )
+    gap = F.round(F.abs(F.col("whole") - F.col("resumed")), 6)
+    return _with_keys(both, F.lit(stopped is None).alias("was_stopped"),
+                      kept.cast("bigint").alias("rounds_kept"), gap.alias("gap"))
+
+
+@query
+def gbt_stump(p: Pipeline) -> DataFrame:
+    """One split of all training rows: feature, cut, side of missing values, gain, both leaves."""
+    band = F.least(F.floor(F.col("lag_30") / STUMP_STEP), F.lit(STUMP_BANDS)).cast("double")
+    rows = p.split.withColumns({
+        "lag_band": band, "weekday": F.weekday(CFG.date).cast("double"),
+    })
+    features = ["weekday", "lag_band"]
+    cfg = CFG.with_changes(categorical_features=())
+    train = p.stages.write(rows.where("is_train").select(CFG.price, *features), "stump-train")
+    path = p.stages.path("stump")
+    model = forecast.fit_trees(
+        train, CFG.price, features, cfg, TreeParams(n_trees=1, max_depth=1), "predicted",
+        f"{path}-rounds",
+    )
+    forecast.save_model(model, path)
+    split = forecast.first_split(p.spark, model, path, features)
+    leaves = forecast.predict(model, train, features, cfg).groupBy("predicted").agg(
+        F.count("*").alias("n"))
+    return rounded(rounded(leaves.join(split), 4, "predicted"), 0, "gain")
+
+
 @query
 def gbt_cross_check(p: Pipeline) -> DataFrame:
     """The direct model's logged errors beside those on the rows all models share."""

@@ -709,6 +709,43 @@ ORACLE |= {
     "gbt_save_load": SPLIT + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "modal_price")}, true AS same_prediction
         FROM split WHERE NOT is_train""",
+    "gbt_resume": SPLIT + f"""
+        SELECT {_DATE_KEYS}, true AS was_stopped, 1::bigint AS rounds_kept, 0e0 AS gap
+        FROM split WHERE NOT is_train""",
+    # Every cut between two values, missing ones tried on both sides; the first of the largest
+    # gains in order of feature, side and cut.
+    "gbt_stump": SPLIT + f""", train AS (
+          SELECT modal_price AS y, cast(isodow(price_date) - 1 AS double) AS weekday,
+                 least(floor(lag_30 / 5000), 20e0) AS lag_band
+          FROM split WHERE is_train),
+        long AS (
+          SELECT 0 AS k, 'weekday' AS feature, weekday AS x, y FROM train
+          UNION ALL SELECT 1, 'lag_band', lag_band, y FROM train),
+        found AS (
+          SELECT k, feature, x, count(*) AS n, sum(y) AS s, sum(y * y) AS q
+          FROM long GROUP BY ALL),
+        nulls AS (SELECT k, n AS n0, s AS s0 FROM found WHERE x IS NULL),
+        cuts AS (
+          SELECT k, feature, (x + lead(x) OVER up) / 2 AS cut,
+                 sum(n) OVER up AS n, sum(s) OVER up AS s
+          FROM found WHERE x IS NOT NULL WINDOW up AS (PARTITION BY k ORDER BY x)),
+        sides AS (
+          SELECT k, feature, cut, CASE WHEN n0 IS NOT NULL THEN true END AS missing_left,
+                 n + coalesce(n0, 0) AS n, s + coalesce(s0, 0) AS s
+          FROM cuts LEFT JOIN nulls USING (k) WHERE cut IS NOT NULL
+          UNION ALL
+          SELECT k, feature, cut, false, n, s FROM cuts JOIN nulls USING (k)
+          WHERE cut IS NOT NULL),
+        whole AS (SELECT count(*) AS n_all, sum(y) AS s_all FROM train),
+        best AS (
+          SELECT *, s * s / n + (s_all - s) * (s_all - s) / (n_all - n)
+                    - s_all * s_all / n_all AS gain
+          FROM sides, whole ORDER BY gain DESC, k, missing_left DESC, cut LIMIT 1)
+        SELECT n::bigint AS n, {r("s / n", 4)} AS predicted, feature, cut, missing_left,
+               {rounded(0, "gain")} FROM best
+        UNION ALL
+        SELECT (n_all - n)::bigint, {r("(s_all - s) / (n_all - n)", 4)}, feature, cut,
+               missing_left, {rounded(0, "gain")} FROM best""",
     "gbt_reconstruction": RESIDUAL + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "lag_1")}, true AS adds_up
         FROM residuals WHERE NOT is_train""",

@@ -90,9 +90,12 @@ class Pipeline:
             return self._models[kind]
 
     def predictions(self, kind: str) -> DataFrame:
-        """The model's test rows with its ``predicted`` price."""
-        rows = training.test_rows(self.split, kind, self.cfg)
-        return training.score(self.trained(kind), rows, self.cfg, "predicted")
+        """The model's test rows with its ``predicted`` price, scored once per session."""
+        def scored() -> DataFrame:
+            rows = training.test_rows(self.split, kind, self.cfg)
+            return training.score(self.trained(kind), rows, self.cfg, "predicted")
+
+        return self.stages.once(f"scored-{kind}", scored)
 
     def three_way_metrics(self) -> DataFrame:
         """Errors of all three models on the same rows; the direct model is read from disk."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quotewell.config import EXCLUDED_FEATURES, PanelConfig, TreeParams
 from quotewell.operators import forecast, metrics
 from quotewell.operators.split import cutoff
+from quotewell.sources import folders
 from quotewell.sources.runlog import append_run_record, metric_map, run_record
 from quotewell.sources.stages import Stages
 
@@ -42,15 +43,20 @@ def model_rows(split: DataFrame, kind: str, cfg: PanelConfig) -> DataFrame:
 def train(
     split: DataFrame, kind: str, cfg: PanelConfig, params: TreeParams, stages: Stages, path: str
 ) -> TrainedModel:
-    """Fit on the train rows and save to ``path``. The rows are staged: every level of every
-    tree reads them again."""
+    """Fit on the train rows and save to ``path``.
+
+    Rounds of the fit are saved beside it until it ends: called again after a loss of the driver,
+    it goes on from the last one.
+    """
     target = "residual" if kind == RESIDUAL else cfg.price
     features = model_features(kind, cfg)
     rows = model_rows(split, kind, cfg).where("is_train").select(target, *features)
+    rounds = f"{path}-rounds"
     model = forecast.fit_trees(
-        stages.write(rows, f"train-{kind}"), target, features, cfg, params, "model_output"
+        stages.write(rows, f"train-{kind}"), target, features, cfg, params, "model_output", rounds
     )
     forecast.save_model(model, path)
+    folders.delete(split.sparkSession, rounds)
     return TrainedModel(kind, model, path, features)
 
 

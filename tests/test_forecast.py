@@ -44,15 +44,18 @@ def best_split(x: np.ndarray, y: np.ndarray) -> float:
     return best
 
 
-def test_one_stump_equals_brute_force(rows):
+def test_one_stump_equals_brute_force(rows, stages):
     cfg = CFG.with_changes(model_features=("lag_1", "lag_7", "state"), categorical_features=("state",))
     model = forecast.fit_trees(
         rows, "modal_price", cfg.model_features, cfg,
-        TreeParams(n_trees=1, max_depth=1), "predicted",
+        TreeParams(n_trees=1, max_depth=1), "predicted", stages.path("rounds"),
     )
     scored = forecast.predict(model, rows, cfg.model_features, cfg).toPandas()
     y = scored["modal_price"].to_numpy()
-    numeric = scored[["lag_1", "lag_7"]].fillna(forecast.MISSING).to_numpy()
+    numeric = np.column_stack([
+        scored[["lag_1", "lag_7"]].fillna(side).to_numpy()
+        for side in (forecast.BELOW, forecast.ABOVE)
+    ])
     # every way to send some of the states to the left
     states = sorted(scored["state"].unique())
     sides = [
@@ -64,10 +67,72 @@ def test_one_stump_equals_brute_force(rows):
     assert ((scored["predicted"] - y) ** 2).sum() == pytest.approx(expected, rel=1e-9)
 
 
-def test_missing_and_unseen_values_are_accepted(rows):
+@pytest.mark.parametrize("belongs_right", [True, False])
+def test_missing_values_go_where_they_fit(spark, stages, belongs_right):
+    # Prices step up at lag_7 = 5; rows without it belong to the named side.
+    data = [("Onion", "A", datetime.date(2024, 1, 1), 900.0 if k >= 5 else 100.0, 1.0, float(k))
+            for k in range(10)] * 5
+    missing = 900.0 if belongs_right else 100.0
+    data += [("Onion", "A", datetime.date(2024, 1, 1), missing, 1.0, gap)
+             for gap in [None, float("nan")] * 10]
+    planted = stages.write(spark.createDataFrame(data, SCHEMA), "planted")
+    cfg = CFG.with_changes(model_features=("lag_1", "lag_7"), categorical_features=())
+    path = stages.path("one-split")
+    model = forecast.fit_trees(
+        planted, "modal_price", cfg.model_features, cfg, TreeParams(n_trees=1, max_depth=1),
+        "predicted", f"{path}-rounds",
+    )
+    scored = forecast.predict(model, planted, cfg.model_features, cfg)
+    assert scored.where("abs(predicted - modal_price) > 1e-9").count() == 0
+    forecast.save_model(model, path)
+    split = forecast.first_split(spark, model, path, cfg.model_features).first()
+    assert (split.feature, split.cut, split.missing_left) == ("lag_7", 4.5, not belongs_right)
+    shares = forecast.feature_importance(spark, model, path, cfg.model_features).collect()
+    assert {r.feature: r.gain_pct for r in shares} == {"lag_7": 100.0, "lag_1": 0.0}
+
+
+def test_a_stopped_fit_goes_on(spark, stages, rows):
+    folder = stages.path("resumed")
+    params = TreeParams(n_trees=7, max_depth=3)
+
+    def fit(where, stop_after=None, source=rows):
+        return forecast.fit_trees(
+            source, "modal_price", CFG.model_features, CFG, params, "predicted", where,
+            trees_per_round=3, stop_after=stop_after,
+        )
+
+    whole = fit(stages.path("whole"))
+    assert fit(folder, stop_after=1) is None and fit(folder, stop_after=2) is None
+    saved = forecast.saved_rounds(spark, folder)
+    assert [path.rsplit("/", 1)[1] for path in saved] == ["round-00000", "round-00001"]
+    # A writer that was lost leaves its staged folder; it does no harm.
+    spark.range(1).write.parquet(saved[0].rsplit("/", 1)[0] + "/writing-lost/rows")
+    resumed = fit(folder)
+    # The line with the tree's own id apart, the first round's trees are the same.
+    first, other = ([t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees[:3]]
+                    for model in (resumed, whole))
+    assert first == other
+    assert len(resumed.stages[-1].trees) == 7
+    one = forecast.predict(whole, rows, CFG.model_features, CFG).toPandas()["predicted"]
+    two = forecast.predict(resumed, rows, CFG.model_features, CFG).toPandas()["predicted"]
+    assert np.allclose(one, two, rtol=1e-9)
+    # Three rounds predict what their parts predict on the residuals, one after the other.
+    error = ((rows.toPandas()["modal_price"] - one) ** 2).sum()
+    short = forecast.fit_trees(
+        rows, "modal_price", CFG.model_features, CFG, TreeParams(n_trees=3, max_depth=3),
+        "predicted", stages.path("short"))
+    three = forecast.predict(short, rows, CFG.model_features, CFG).toPandas()["predicted"]
+    assert error < ((rows.toPandas()["modal_price"] - three) ** 2).sum()
+    # Other rows are another fit.
+    fit(folder, stop_after=1, source=stages.write(rows.limit(200), "fewer"))
+    assert len(forecast.saved_rounds(spark, folder)) == 4
+
+
+def test_missing_and_unseen_values_are_accepted(rows, stages):
     train = rows.where(F.col("state") != "D")
     model = forecast.fit_trees(
-        train, "modal_price", CFG.model_features, CFG, TreeParams(n_trees=3), "predicted"
+        train, "modal_price", CFG.model_features, CFG, TreeParams(n_trees=3), "predicted",
+        stages.path("rounds"),
     )
     scored = forecast.predict(model, rows, CFG.model_features, CFG)
     assert scored.where("predicted is null or isnan(predicted)").count() == 0
@@ -80,7 +145,8 @@ def test_more_labels_than_bins(spark, stages):
             for i in range(40)] * 3
     many = stages.write(spark.createDataFrame(data, SCHEMA), "many")
     model = forecast.fit_trees(
-        many, "modal_price", CFG.model_features, CFG, TreeParams(n_trees=1, max_bins=8), "predicted"
+        many, "modal_price", CFG.model_features, CFG, TreeParams(n_trees=1, max_bins=8),
+        "predicted", stages.path("rounds"),
     )
     assert forecast.predict(model, many, CFG.model_features, CFG).count() == 120
 
