@@ -581,6 +581,38 @@ def pred_extent(p: Pipeline) -> DataFrame:
 # ---- files ----
 
 
+@query
+def csv_line_breaks(p: Pipeline) -> DataFrame:
+    """Quotes whose market cells hold line breaks, quotes and commas, through one CSV file."""
+    path = p.stages.path("breaks")
+    stall = F.concat(F.col("market_name"), F.lit('\nstall "'), F.col("grade"), F.lit('", '),
+                     F.col("variety"), F.lit("\n\n"))
+    broken = F.when(F.col("grade") != "N", stall).otherwise(F.col("market_name"))
+    one = p.raw.withColumn("market_name", broken).coalesce(1)
+    tables.write_table(one, path, "csv")
+    return tables.read_raw_quotes(p.spark, path, p.stages).select(
+        "state", "market_name", "commodity", "modal_price", "price_date")
+
+
+@query
+def csv_mixed_headers(p: Pipeline) -> DataFrame:
+    """Quotes of three files: the usual header, other order and spelling, a column less."""
+    path = p.stages.path("mixed")
+    other = dict(zip(p.raw.columns, MESSY_HEADERS, strict=True))
+    plain, varied = F.col("grade") == "N", F.col("grade") == "R"
+    parts = [
+        p.raw.where(plain),
+        p.raw.where(varied).select(*[F.col(name).alias(other[name])
+                                     for name in reversed(p.raw.columns)]),
+        p.raw.where(~plain & ~varied).drop("variety"),
+    ]
+    for k, rows in enumerate(parts):
+        tables.write_table(rows, f"{path}/{k}", "csv")
+    return cleaning.normalise_headers(
+        tables.read_raw_quotes(p.spark, f"{path}/*", p.stages)
+    ).select("state", "commodity", "variety", "grade", "modal_price", "price_date")
+
+
 @query
 def io_roundtrip(p: Pipeline) -> DataFrame:
     """Rows and price totals (in cents) after each stage went through files and back."""

@@ -775,6 +775,18 @@ ORACLE |= {
         UNION ALL SELECT model, concat('gain_pct ', feature), NULL FROM used""",
     "saved_row_counts": NAIVE + """
         SELECT 'saved' AS name, count(*) AS n FROM naive UNION ALL SELECT 'absent', NULL""",
+    "csv_line_breaks": VIEWS + """
+        SELECT state,
+               CASE WHEN grade <> 'N'
+                    THEN concat(market_name, chr(10), 'stall "', grade, '", ', variety, chr(10),
+                                chr(10))
+                    ELSE market_name END AS market_name,
+               commodity, nullif(modal_price, 'n/a') AS modal_price, price_date
+        FROM quotes_raw""",
+    "csv_mixed_headers": VIEWS + """
+        SELECT state, commodity, CASE WHEN grade IN ('N', 'R') THEN variety END AS variety, grade,
+               nullif(modal_price, 'n/a') AS modal_price, price_date
+        FROM quotes_raw""",
     "io_roundtrip": NAIVE + f"""
         SELECT 'raw csv' AS stage, count(*) AS n,
                cast(sum(floor({r("try_cast(modal_price AS double)", 2)} * 100 + 0.5e0))

@@ -55,7 +55,7 @@ class Workspace:
         return self.stages.once("raw", self._read_raw)
 
     def _read_raw(self) -> DataFrame:
-        raw = cleaning.normalise_headers(tables.read_raw_quotes(self.spark, self.raw_path))
+        raw = cleaning.normalise_headers(tables.read_raw_quotes(self.spark, self.raw_path, self.stages))
         used = {*CLEANED.names, *self.cfg.keys, self.cfg.date, *self.cfg.price_columns}
         return raw.select(*[name for name in raw.columns if name in used])
 

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewell.config import PanelConfig
+from quotewell.sources.quoted_csv import read_quoted
 from quotewell.sources.schemas import (
     BASELINE_PREDICTIONS,
     DIRECT_PREDICTIONS,
     require_columns,
     require_schema,
 )
-from quotewell.sources.stages import folder_writer
+from quotewell.sources.stages import Stages, folder_writer
 
 # Cell texts that mean "missing" in a quote file.
 MISSING_TEXTS = (
@@ -30,13 +31,13 @@ _KEEP_BLANKS = {
 }
 
 
-def read_raw_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """Raw quote CSV with a header row. Every column is text, in the header's own spelling.
+def read_raw_quotes(spark: SparkSession, path: str, stages: Stages | None = None) -> DataFrame:
+    """Raw quote CSV with a header row. Every column is text, in the first header's spelling.
 
-    Files of one folder must have the same header; reading one that differs fails. Cells hold no
-    line breaks, so that large files can be split.
+    Files of one folder may have their columns in any order, and lack some. Quoted cells may hold
+    line breaks; large files are read in splits all the same.
     """
-    raw = spark.read.options(header="true", enforceSchema="false", **_KEEP_BLANKS).csv(path)
+    raw = read_quoted(spark, path, stages or Stages(spark), _KEEP_BLANKS)
     return raw.select(
         *[
             F.when(~F.col(f"`{name}`").isin(*MISSING_TEXTS), F.col(f"`{name}`")).alias(name)

@@ -149,8 +149,48 @@ def test_doubled_quotes_and_commas_in_cells(spark, tmp_path):
     ]
 
 
-def test_files_with_another_column_order_fail(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("State,Modal Price\nGoa,1\n")
-    (tmp_path / "b.csv").write_text("Modal Price,State\n1,Goa\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        tables.read_raw_quotes(spark, str(tmp_path)).collect()
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("State,Modal Price\nGoa,1\n\nAssam,NA\n")
+    (tmp_path / "b.csv").write_text("\ufeffmodal_price,STATE,Grade\r\n2,Kerala,FAQ\r\n")
+    (tmp_path / "c.csv").write_text('\n"Grade"\n"A\nB"\n')
+    (tmp_path / "d.csv").write_text("")
+    found = tables.read_raw_quotes(spark, str(tmp_path))
+    assert found.columns == ["State", "Modal Price", "Grade"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        ("Goa", "1", None), ("Assam", None, None), ("Kerala", "2", "FAQ"), (None, None, "A\nB"),
+    ], key=str)
+
+
+@pytest.mark.parametrize("split", [60, 1 << 20])
+def test_line_breaks_in_quoted_cells(spark, tmp_path, split):
+    rng = random.Random(split)
+    cells = ["plain", "", "a,b", 'say ""hi""', "two\nlines", "\n\n", 'end ""\n"" x', ",\n,", "é\n"]
+    rows = [[rng.choice(cells) for _ in range(3)] for _ in range(30)]
+
+    def shown(cell: str) -> str:
+        return f'"{cell}"' if set(cell) & set('",\n') or rng.random() < 0.2 else cell
+
+    body = "\n".join(",".join(shown(c) for c in row) for row in rows)
+    (tmp_path / "a.csv").write_text(f'x,"y",z\n{body}\n')
+    (tmp_path / "b.csv").write_text('z,y,x\nin "quotes" here,5" pipe,1\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        found = tables.read_raw_quotes(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expected = [tuple(c.replace('""', '"') or None for c in row) for row in rows]
+    expected.append(("1", '5" pipe', 'in "quotes" here'))
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
+def test_a_cell_that_is_not_closed_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('State,Modal Price\n"Goa,1\nAssam,2\n')
+    with pytest.raises(ValueError, match="not closed"):
+        tables.read_raw_quotes(spark, str(tmp_path))
+
+
+def test_a_repeated_name_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("State,state \nGoa,1\n")
+    with pytest.raises(ValueError, match="repeats a name"):
+        tables.read_raw_quotes(spark, str(tmp_path))
