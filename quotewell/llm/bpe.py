@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotewell.llm import workers
 from quotewell.llm.common import free_name, whole_text
 
 # The characters that Unicode calls White_Space: the library's \s.
@@ -167,6 +168,9 @@ def chunk_encoder(path: str, pattern: str | None = None) -> ChunkEncoder:
     return ChunkEncoder(load_tokenizer(path, pattern))
 
 
+workers.forgets(chunk_encoder.cache_clear)
+
+
 def int_lists(arrays: Iterable[np.ndarray]) -> pa.ListArray:
     arrays = list(arrays)
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotewell.llm import workers
 from quotewell.llm.bpe import slices
 from quotewell.llm.common import whole_text, without_ids
 from quotewell.llm.components import components
@@ -20,6 +21,8 @@ PERMUTATIONS = 64  # each gives a minimum and a maximum
 BAND_ROWS = 4
 SEED = 41
 REMEMBERED = 150_000
+PACKED_BYTES = 16 << 20  # sets of a block held as bits; beyond, they are marked one by one
+TRIM_BYTES = 4 << 20
 BLOCK_SHINGLES = 1 << 19  # of all documents in a block, so that long ones make smaller blocks
 
 
@@ -89,6 +92,7 @@ SIGNED = "id long, n_shingles long, set_key binary, bands array<long>"
 def sign(texts: DataFrame, shingle: int) -> DataFrame:
     """Set size, a 128-bit key of the whole set, and band hashes of each (id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("minhash")
         known = WordHashes()
         factors, masks = permutations()
         for batch in batches:
@@ -104,6 +108,7 @@ def sign(texts: DataFrame, shingle: int) -> DataFrame:
                      pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     ["id", "n_shingles", "set_key", "bands"],
                 )
+        workers.trim()
 
     return texts.mapInArrow(run, SIGNED)
 
@@ -111,6 +116,7 @@ def sign(texts: DataFrame, shingle: int) -> DataFrame:
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     """The whole shingle set of each (id, text), as packed sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("minhash")
         known = WordHashes()
         for batch in batches:
             for part in slices(batch, 1):
@@ -121,6 +127,7 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sets, pa.binary())], ["id", "shingles"]
                 )
+        workers.trim()
 
     return texts.mapInArrow(run, "id long, shingles binary")
 
@@ -139,11 +146,40 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(similar(shared, len(x), len(y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        workers.trim()
 
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "left", "right")
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _by_bits(columns: np.ndarray, counts: np.ndarray, width: int):
+    """How many columns set ``i`` shares with others, all sets held as bits."""
+    packed = np.zeros((len(counts), width // 8), np.uint8)
+    ends = counts.cumsum()
+    for k, (begin, end) in enumerate(zip(ends - counts, ends, strict=True)):
+        bits = np.zeros(width, bool)
+        bits[columns[begin:end]] = True
+        packed[k] = np.packbits(bits)
+    packed = packed.view(np.uint64)
+    return lambda i, others: np.bitwise_count(packed[others] & packed[i]).sum(1, dtype=np.int64)
+
+
+def _by_marks(columns: np.ndarray, counts: np.ndarray, width: int):
+    """The same where bits would take too much memory: set ``i`` is marked, all columns look."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    ends = counts.cumsum()
+    marked = np.zeros(width, bool)
+
+    def shared(i: int, others: np.ndarray) -> np.ndarray:
+        own = columns[ends[i] - counts[i]:ends[i]]
+        marked[own] = True
+        found = np.bincount(owner[marked[columns]], minlength=len(counts))
+        marked[own] = False
+        return found[others]
+
+    return shared
+
+
 def link_block(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Links that join different components among the documents of one block, or of two blocks.
 
@@ -159,14 +195,10 @@ def link_block(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
     common = np.bincount(place, minlength=len(values)) > 1
     column = np.cumsum(common) - 1
     held = common[place]
+    owner = np.repeat(np.arange(len(sets)), sizes)
     width = -(-int(common.sum() + 1) // 64) * 64
-    packed = np.zeros((len(sets), width // 8), np.uint8)
-    ends = sizes.cumsum()
-    for k, (begin, end) in enumerate(zip(ends - sizes, ends, strict=True)):
-        bits = np.zeros(width, bool)
-        bits[column[place[begin:end][held[begin:end]]]] = True
-        packed[k] = np.packbits(bits)
-    packed = packed.view(np.uint64)
+    how = _by_bits if len(sets) * width <= 8 * PACKED_BYTES else _by_marks
+    shared_with = how(column[place[held]], np.bincount(owner[held], minlength=len(sets)), width)
     names, group = np.unique(rows.column("component").to_numpy(), return_inverse=True)
     two = sides.min() != sides.max()
     out: list[tuple[int, int]] = []
@@ -178,7 +210,7 @@ def link_block(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
         others = np.flatnonzero(possible) + i + 1
         if not len(others):
             continue
-        shared = np.bitwise_count(packed[others] & packed[i]).sum(1, dtype=np.int64)
+        shared = shared_with(i, others)
         for j in others[similar(shared, sizes[i], sizes[others], percent)].tolist():
             if group[j] != group[i]:
                 out.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
@@ -246,7 +278,10 @@ def near_links(
     )
 
     def run(rows: pa.Table) -> pa.Table:
+        workers.enter("minhash")
         linked = link_block(rows, percent)
+        if rows.nbytes > TRIM_BYTES:
+            workers.trim()
         return pa.table({"a": pa.array([a for a, _ in linked], pa.int64()),
                          "b": pa.array([b for _, b in linked], pa.int64())})
 

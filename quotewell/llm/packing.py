@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotewell.llm import workers
 from quotewell.llm.bpe import chunk_encoder, slices
 from quotewell.llm.common import whole_text
 from quotewell.sources.stages import Stages
@@ -263,6 +264,7 @@ def pack(
     stages = stages or Stages(docs.sparkSession)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("packing")
         encoder = chunk_encoder(tokenizer)
         row = (TaskContext.get().partitionId() << 40) if TaskContext.get() else 0
         end = np.array([end_id], np.int32)
@@ -295,6 +297,7 @@ def pack(
             yield unpack(rest, length)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("packing tables")
         df, n, tokens = counted(rest for batch in batches for rest in unpacked(batch))
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
@@ -315,6 +318,7 @@ def pack(
     known = docs.sparkSession.sparkContext.broadcast((corpus, order))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("packing tables")
         order = known.value[1]
         for batch in batches:
             made = [order.key(rest) for rest in unpacked(batch)]
@@ -341,6 +345,7 @@ def pack(
     dealing = docs.sparkSession.sparkContext.broadcast((places, bounds))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.enter("packing tables")
         order = known.value[1]
         places, bounds = dealing.value
         for batch in batches:
@@ -360,6 +365,7 @@ def pack(
             )
 
     def fill_shard(table: pa.Table) -> pa.Table:
+        workers.enter("packing tables")
         rows = sorted(table.to_pylist(), key=lambda r: (r["id"] or "", r["start"], r["rest"] or b""))
         shard = rows[0]["shard"]
         whole = [r for r in rows if r["ids_crc32"] is not None]

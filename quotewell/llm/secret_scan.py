@@ -15,11 +15,11 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewell.llm import workers
 from quotewell.llm.common import whole_text
 
 KINDS = ("assign", "access", "hex", "markov")
@@ -223,14 +223,18 @@ def scan(
     """
     sent = docs.sparkSession.sparkContext.broadcast(detector)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        workers.enter("secrets")
         for texts in batches:
-            yield pd.Series([
-                [{"kind": k, "start": s, "end": e} for k, s, e in find(text, sent.value)]
+            yield pa.array([
+                [{"kind": k, "start": s, "end": e} for k, s, e in find(text.as_py(), sent.value)]
                 for text in texts
-            ], dtype=object)
+            ], kind)
+        workers.trim()
 
-    return docs.withColumn(spans_col, F.pandas_udf(run, f"array<{SPAN}>")(whole_text(text_col)))
+    return docs.withColumn(spans_col, F.arrow_udf(run, f"array<{SPAN}>")(whole_text(text_col)))
 
 
 def redacted(text: str, spans: list[dict]) -> str:
@@ -249,9 +253,13 @@ def redact(text: Column, spans: Column) -> Column:
     A null text stays null, and a text without spans stays as it is.
     """
     def run(texts: pa.Array, found: pa.Array) -> pa.Array:
-        return pa.array(
-            [t if not f or t is None else redacted(t, f)
-             for t, f in zip(texts.to_pylist(), found.to_pylist(), strict=True)], pa.string())
+        workers.enter("secrets")
+        made = pa.array(
+            [redacted(text.as_py(), spans.as_py())
+             if text.is_valid and spans.is_valid and len(spans) else text.as_py()
+             for text, spans in zip(texts, found, strict=True)], pa.string())
+        workers.trim()
+        return made
 
     return F.arrow_udf(run, "string")(text, spans)
 

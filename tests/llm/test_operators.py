@@ -8,6 +8,7 @@ import string
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from quotewell.llm import (
     secret_scan,
     substring_dedup,
     toxicity,
+    workers,
 )
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -315,3 +317,26 @@ def test_marginals_equal_enumeration():
         total += weight
         chance += weight * np.array(tags)
     assert np.allclose(toxicity.marginals(odds, first, start, move)[0], chance / total)
+
+
+def test_blocks_are_compared_alike_by_bits_and_by_marks(monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.choice(1 << 40, 300, replace=False).astype(np.uint64)
+    sets = [np.sort(np.concatenate([base[: 300 - k], rng.choice(1 << 40, 7 * (k % 3)).astype(np.uint64)]))
+            for k in range(0, 120, 5)] + [np.empty(0, np.uint64)]
+    rows = pa.table({
+        "id": range(len(sets)), "block": [k % 2 for k in range(len(sets))],
+        "component": range(len(sets)), "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+    })
+    by_bits = minhash.link_block(rows, 80)
+    monkeypatch.setattr(minhash, "PACKED_BYTES", 0)
+    assert by_bits and minhash.link_block(rows, 80) == by_bits
+
+
+def test_a_task_of_another_operator_empties_memories():
+    emptied = []
+    workers.forgets(lambda: emptied.append(1))
+    for operator in ("one", "one", "two", "one"):
+        workers.enter(operator)
+    workers.trim()
+    assert len(emptied) in (2, 3)  # three if another operator ran in this process before
