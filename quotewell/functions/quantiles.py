@@ -18,17 +18,23 @@ from pyspark.sql import functions as F
 from quotewell.sources.stages import Stages
 
 
-def value_counts(df: DataFrame, value: str, keys: Sequence[str], stages: Stages) -> DataFrame:
+def _present(value: str, keys: Sequence[str]) -> Column:
+    present = F.col(value).isNotNull()
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    return present
+
+
+def value_counts(
+    df: DataFrame, value: str, keys: Sequence[str], stages: Stages, keep_missing: bool = False
+) -> DataFrame:
     """A stage table of the distinct (group, value) pairs: ``keys``, ``_value``, ``_n`` (rows)
     and ``_range``, which rises with the pair.
 
-    Rows with a NULL value or a NULL group key do not count.
+    Rows with a NULL value or a NULL group key do not count, unless they are to be kept.
     """
-    present = F.col(value).isNotNull()
-    for key in keys:
-        present = present & F.col(key).isNotNull()
     counts = (
-        df.where(present)
+        (df if keep_missing else df.where(_present(value, keys)))
         .groupBy(*keys, F.col(value).cast("double").alias("_value"))
         .agg(F.count("*").alias("_n"))
         .repartitionByRange(*keys, "_value")
@@ -56,6 +62,52 @@ def exact_quantiles(
     return _by_rank(counts, quantiles, keys).select(*by, *quantiles)
 
 
+def summary(
+    df: DataFrame,
+    value: str,
+    quantiles: dict[str, float],
+    by: Sequence[str],
+    stages: Stages,
+) -> DataFrame:
+    """One row per group, groups with a NULL key among them: ``by``, ``n`` (values that are not
+    NULL), ``mean``, ``std`` of the sample, ``min``, ``max`` and the exact quantiles.
+
+    The input is read once; all else comes from the table of its distinct values. Deviations are
+    taken from the mean before they are squared, so that nothing cancels. Quantiles of a group
+    with a NULL key are NULL, as is ``std`` of fewer than two values.
+    """
+    keys = list(by)
+    if not keys:
+        keys, df = ["_all"], df.withColumn("_all", F.lit(0))
+    counts = value_counts(df, value, keys, stages, keep_missing=True)
+    rows = F.when(F.col("_value").isNotNull(), F.col("_n"))
+    groups = counts.groupBy(*keys).agg(
+        F.coalesce(F.sum(rows), F.lit(0)).alias("n"),
+        F.try_divide(F.sum(F.col("_value") * F.col("_n")), F.sum(rows)).alias("mean"),
+        F.min("_value").alias("min"),
+        F.max("_value").alias("max"),
+    )
+    centres = groups.select(*[F.col(key).alias(f"_of_{key}") for key in keys],
+                            F.col("mean").alias("_mean"))
+    match = F.lit(True)
+    for key in keys:
+        match = match & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    off = F.col("_value") - F.col("_mean")
+    spread = (
+        counts.where("_value IS NOT NULL").join(centres, match)
+        .groupBy(*[F.col(key).alias(f"_of_{key}") for key in keys])
+        .agg(F.sum(off * off * F.col("_n")).alias("_squares"))
+    )
+    ranked = _by_rank(counts.where(_present("_value", keys)), quantiles, keys)
+    ranked = ranked.select(*[F.col(key).alias(f"_in_{key}") for key in keys], *quantiles)
+    found = F.lit(True)
+    for key in keys:
+        found = found & (F.col(key) == F.col(f"_in_{key}"))
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("_squares") / (F.col("n") - 1)))
+    return groups.join(spread, match, "left").join(ranked, found, "left").select(
+        *by, "n", "mean", std.alias("std"), "min", "max", *quantiles)
+
+
 def _position(prob: float) -> Column:
     return F.lit(prob) * (F.col("_total") - 1)
 

@@ -61,6 +61,21 @@ def round_half_up(column: Column, digits: int) -> Column:
     return F.floor(fine + 0.5) / 10.0**digits
 
 
+def round_shortest(column: Column, digits: int, half: str = "even") -> Column:
+    """Round on the shortest decimal text of a double: ties to the even digit, or away from zero.
+
+    2.675 is a tie here, as it is written, though the double lies just below it. The text is an
+    exact decimal of up to 38 digits; doubles that do not fit one keep their value, since they are
+    far above 10^15 and have no decimals, and missing, NaN and infinite values stay as they are.
+    """
+    if half not in ("even", "up"):
+        raise ValueError(f"half is 'even' or 'up', not {half!r}")
+    number = column.cast("double")
+    exact = F.when(F.abs(number) < 1e15, number.cast("string").try_cast("decimal(38,22)"))
+    turn = F.bround if half == "even" else F.round
+    return F.coalesce(turn(exact, digits).cast("double"), number)
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: round_half_up(F.col(name), digits) for name in columns})
 

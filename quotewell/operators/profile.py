@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.config import PanelConfig
-from quotewell.functions.quantiles import exact_quantiles
+from quotewell.functions.quantiles import summary
 from quotewell.functions.scalars import month_start, round_half_up, to_number
 from quotewell.sources.stages import Stages
 
@@ -67,42 +67,38 @@ def date_span(df: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 def describe(df: DataFrame, value: str, by: Sequence[str], stages: Stages) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of one column per group."""
-    rows = df.select(*by, value)
-    moments = rows.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
     probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    quartiles = exact_quantiles(rows, value, probs, by, stages)
-    if by:
-        summary = moments.join(quartiles, list(by), "left")
-    else:
-        row = quartiles.select(F.struct(*probs).alias("row")).scalar()
-        summary = moments.withColumn("row", row).select("*", "row.*")
-    return summary.select(*by, "n", "mean", "std", "min", *probs, "max")
+    found = summary(df.select(*by, value), value, probs, by, stages)
+    return found.select(*by, "n", "mean", "std", "min", *probs, "max")
 
 
 def coverage(quotes: DataFrame, cfg: PanelConfig) -> DataFrame:
     """How densely groups cover the date span, at market and at state level.
 
-    One scan serves both levels. Distinct dates are counted per group first, so the median
-    runs over at most as many different values as the span has days.
+    One scan serves both levels. A group's days are bits of words of 64 days each, set where the
+    rows are read and merged by OR, so that a task sends one row per group and word and not one
+    per group and day. The median runs over at most as many different values as the span has days.
     """
+    day = F.unix_date(cfg.date)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), day.bitwiseAND(63))
     levels = F.array(
         F.struct(F.lit("market_commodity").alias("granularity"), F.col(cfg.market).alias("place")),
         F.struct(F.lit("state_commodity").alias("granularity"), F.col(cfg.state).alias("place")),
     )
     groups = (
         quotes.select(F.inline(levels), cfg.commodity, cfg.date)
-        .groupBy("granularity", "place", cfg.commodity)
+        .groupBy("granularity", "place", cfg.commodity, F.shiftright(day, 6).alias("word"))
         .agg(
-            F.count_distinct(cfg.date).alias("n_dates"),
+            F.bit_or(bit).alias("days"),
             F.min(cfg.date).alias("first_date"),
             F.max(cfg.date).alias("last_date"),
         )
+        .groupBy("granularity", "place", cfg.commodity)
+        .agg(
+            F.coalesce(F.sum(F.bit_count("days")), F.lit(0)).alias("n_dates"),
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
+        )
     )
     named = F.col("place").isNotNull() & F.col(cfg.commodity).isNotNull()
     return (

@@ -497,6 +497,30 @@ def forecast_verdict(p: Pipeline) -> DataFrame:
     ).select("group_label", "mae_resid_vs_base_pct", "mape_pct_resid_vs_base_pct", "beats")
 
 
+@query
+def run_log_commits(p: Pipeline) -> DataFrame:
+    """Records of four runs after repeated appends and a compaction in between."""
+    path, spark = p.stages.path("commits"), p.spark
+    scores = metrics.forecast_metrics(
+        forecast.naive_forecast(p.features, CFG), CFG.price, {NAIVE: "predicted"},
+        CFG.commodity, CFG.scope,
+    )
+
+    def record(run_id: str) -> DataFrame:
+        return runlog.run_record(
+            runlog.metric_map(scores, NAIVE), None, params={"kind": "naive"},
+            columns={"model": NAIVE, "run_id": run_id},
+        )
+
+    for run_id in ("a", "b", "a"):
+        runlog.append_run_record(record(run_id), path)
+    runlog.compact_run_records(spark, path)
+    for run_id in ("b", "c", "d", "d"):
+        runlog.append_run_record(record(run_id), path)
+    found = runlog.logged_metrics(runlog.read_run_records(spark, path))
+    return rounded(found.select("run_id", "metric", "value"), 2, "value")
+
+
 @query
 def run_log_metrics(p: Pipeline) -> DataFrame:
     """Errors logged as a run record, read back and set beside freshly computed ones."""
@@ -650,6 +674,24 @@ def io_roundtrip(p: Pipeline) -> DataFrame:
     )
 
 
+# ---- rounding ----
+
+
+@query
+def round_ties(p: Pipeline) -> DataFrame:
+    """Prices with planted ties, to two digits in both ways, on their shortest decimal form."""
+    planted = F.explode(F.array(F.lit(0.005), F.lit(0.125), F.lit(-2.675), F.lit(1.0)))
+    price = F.col(CFG.price)
+    signed = (F.round(price) + F.col("tie")) * F.when(price % 2 < 1, 1).otherwise(-1)
+    rows = p.cleaned.select(CFG.price, planted.alias("tie"))
+    ties = rows.select(signed.alias("value")).distinct()
+    return ties.select(
+        "value",
+        scalars.round_shortest(F.col("value"), 2).alias("half_even"),
+        scalars.round_shortest(F.col("value"), 2, "up").alias("half_up"),
+    )
+
+
 # ---- boosted trees ----
 
 

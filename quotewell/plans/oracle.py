@@ -644,6 +644,14 @@ ORACLE |= {
                coalesce(mae_resid_vs_base_pct > 0, false)
                  AND coalesce(mape_pct_resid_vs_base_pct > 0, false) AS beats
         FROM compared WHERE group_label = 'OVERALL'""",
+    "run_log_commits": NAIVE + f""", scores AS ({errors("naive", "predicted", "BASELINE")}),
+        runs AS (SELECT unnest(['a', 'b', 'c', 'd']) AS run_id)""" + " UNION ALL ".join(
+        f"""
+        SELECT run_id, concat('BASELINE_', group_label, '_{_SUFFIX[e]}') AS metric,
+               {r(e, 2)} AS value FROM scores, runs""" for e in _ERRORS
+    ) + """
+        UNION ALL SELECT run_id, 'n_test_overall', cast(n AS double) FROM scores, runs
+        WHERE group_label = 'OVERALL'""",
     "run_log_metrics": SPLIT + three_models("split") + " UNION ALL ".join(
         f"SELECT 'MEAN7_OVERALL_{_SUFFIX[e]}' AS metric, {e} AS rescored, {e} AS logged "
         "FROM mean_rows WHERE group_label = 'OVERALL'"
@@ -706,6 +714,19 @@ ORACLE |= {
         SELECT commodity, {r("least(min(modal_price), min(predicted))", 4)} AS low,
                {r("greatest(max(modal_price), max(predicted))", 4)} AS high
         FROM naive GROUP BY commodity""",
+    # Digits of the decimal text, in thousandths and in hundredths.
+    "round_ties": VIEWS + """, planted AS (
+          SELECT DISTINCT (round(modal_price) + t)
+                 * CASE WHEN modal_price % 2 < 1 THEN 1 ELSE -1 END AS value
+          FROM quotes, (SELECT unnest([0.005e0, 0.125e0, -2.675e0, 1e0]) AS t)),
+        exact AS (SELECT value, cast(cast(value AS varchar) AS decimal(38,12)) AS d FROM planted),
+        cut AS (SELECT value, sign(d) AS s, floor(abs(d) * 100) AS low,
+                       abs(d) * 100 - floor(abs(d) * 100) AS rest FROM exact)
+        SELECT value,
+               cast(s * (low + CASE WHEN rest > 0.5 OR (rest = 0.5 AND low % 2 = 1)
+                                    THEN 1 ELSE 0 END) AS double) / 100 AS half_even,
+               cast(s * (low + CASE WHEN rest >= 0.5 THEN 1 ELSE 0 END) AS double) / 100 AS half_up
+        FROM cut""",
     "gbt_save_load": SPLIT + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "modal_price")}, true AS same_prediction
         FROM split WHERE NOT is_train""",

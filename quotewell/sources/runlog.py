@@ -1,4 +1,4 @@
-"""Run records: one row per training run, appended as JSON."""
+"""Run records: one row per training run, as JSON, each committed as a whole."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotewell.sources import folders
 from quotewell.sources.schemas import RUN_RECORD
 
 # How the three errors are called in a run record's metric map.
@@ -81,13 +82,67 @@ def _literal(value: object) -> Column:
     return F.lit(value)
 
 
-def append_run_record(record: DataFrame, path: str) -> None:
-    record.coalesce(1).write.mode("append").json(path)
+def append_run_record(record: DataFrame, path: str) -> bool:
+    """Commit a run's one record to the log; False if that run is in the log already.
+
+    The record is written aside and renamed, in one step, to the folder of its run, so that a
+    reader sees whole records only and a repeated append changes nothing.
+    """
+    spark = record.sparkSession
+    run_id = record.select("run_id").first().run_id
+    compacted = {row.run_id for row in _compacted(spark, path).select("run_id").collect()}
+    if run_id in compacted:
+        return False
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    record.withColumn("run_id", F.lit(run_id)).coalesce(1).write.json(staged)
+    return folders.commit(spark, staged, f"{path}/run-{run_id}")
+
+
+def _compacted(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the newest compaction, an empty table without one."""
+    packs = [name for name in folders.names(spark, path) if name.startswith("pack-")]
+    if not packs:
+        return spark.createDataFrame([], RUN_RECORD)
+    return spark.read.schema(RUN_RECORD).json(f"{path}/{packs[-1]}")
 
 
 def read_run_records(spark: SparkSession, path: str) -> DataFrame:
-    """Run records with their maps declared; inference would turn the maps into structs."""
-    return spark.read.schema(RUN_RECORD).json(path)
+    """Committed run records, one per run, with their maps declared; inference would turn the maps
+    into structs. Without any the table is empty."""
+    names = folders.names(spark, path)
+    runs = [f"{path}/{name}" for name in names if name.startswith("run-")]
+    packed = _compacted(spark, path)
+    if not runs:
+        return packed
+    single = spark.read.schema(RUN_RECORD).json(runs)
+    # A run may be in both between the two steps of a compaction.
+    return packed.join(single.select("run_id"), "run_id", "left_anti").select(
+        *RUN_RECORD.names).unionByName(single)
+
+
+def compact_run_records(spark: SparkSession, path: str) -> int:
+    """Gather all committed records into one folder; returns how many it holds.
+
+    The gathered records are committed before the folders they come from go, so that a reader
+    finds every run once at any time. One compaction at a time; appends may go on meanwhile.
+    """
+    names = folders.names(spark, path)
+    runs = [name for name in names if name.startswith("run-")]
+    packs = [name for name in names if name.startswith("pack-")]
+    if not runs:
+        return _compacted(spark, path).count()
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    single = spark.read.schema(RUN_RECORD).json([f"{path}/{name}" for name in runs])
+    gathered = _compacted(spark, path).join(
+        single.select("run_id"), "run_id", "left_anti").select(*RUN_RECORD.names)
+    gathered.unionByName(single).coalesce(1).write.json(staged)
+    latest = int(packs[-1].removeprefix("pack-")) if packs else 0
+    final = f"{path}/pack-{latest + 1:09d}"
+    if not folders.commit(spark, staged, final):
+        raise RuntimeError(f"another compaction has written {final}")
+    for name in [*runs, *packs]:
+        folders.delete(spark, f"{path}/{name}")
+    return spark.read.schema(RUN_RECORD).json(final).count()
 
 
 def logged_metrics(records: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 
 from quotewell.__main__ import main
 from quotewell.plans.steps import STEPS, Workspace
-from quotewell.sources import tables
+from quotewell.sources import runlog, tables
 from quotewell.sources.schemas import BASELINE_PREDICTIONS, CLEANED, SchemaError, schema_problems
 from quotewell.sources.stages import Stages, shared_folder
 
@@ -113,7 +113,7 @@ def test_steps_hand_over_through_tables(spark, raw_csv, tmp_path):
     assert ws.features().count() == cleaned.count() > 800  # one quote per group and date
     report = spark.read.parquet(f"{folder}/reports/residual/comparison")
     assert report.where("mae_direct is null").count() == 0
-    assert spark.read.json(f"{folder}/run_log").count() == 2
+    assert runlog.read_run_records(spark, f"{folder}/run_log").count() == 2
     steps = {r.step: r.n for r in spark.read.parquet(f"{folder}/reports/clean/steps").collect()}
     assert steps["outlier removal"] == cleaned.count()
     checked = spark.read.parquet(f"{folder}/reports/residual/cross_check").collect()
