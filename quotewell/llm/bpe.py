@@ -103,9 +103,9 @@ class Remembered(dict):
     when the younger one is full.
     """
 
-    def __init__(self, make: Callable[[str], object]):
+    def __init__(self, make: Callable[[str], object], most: int = REMEMBERED):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
         self.old: dict[str, object] = {}
 
     def __missing__(self, chunk: str):
@@ -113,7 +113,7 @@ class Remembered(dict):
         if found is None:
             found = self.make(chunk)
         if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[chunk] = found
@@ -123,10 +123,10 @@ class Remembered(dict):
 class ChunkEncoder:
     """Ids, and offsets if asked for, of whole texts."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, remembered: int = REMEMBERED):
         self.tokenizer = tokenizer
-        self.packed = Remembered(self._pack)
-        self.paired = Remembered(self._pair)
+        self.packed = Remembered(self._pack, remembered)
+        self.paired = Remembered(self._pair, remembered)
         self.model = tokenizer.model
         self.visible = dict(enumerate(byte_characters()))
         # Is a space with letters one pre-token? Then such a chunk goes to the merges at once.
@@ -163,9 +163,11 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=4)
-def chunk_encoder(path: str, pattern: str | None = None) -> ChunkEncoder:
+def chunk_encoder(
+    path: str, pattern: str | None = None, remembered: int = REMEMBERED
+) -> ChunkEncoder:
     """One encoder per Python worker, which outlives the tasks it serves."""
-    return ChunkEncoder(load_tokenizer(path, pattern))
+    return ChunkEncoder(load_tokenizer(path, pattern), remembered)
 
 
 workers.forgets(chunk_encoder.cache_clear)

@@ -39,6 +39,8 @@ KEY_TERMS = 4
 PLACE_TERMS = 3
 NO_TERM = 0xFFFFFFFF
 SAMPLED = 64  # rests a shard, to cut the order where shards end
+SLICE_BYTES = 2 << 20
+REMEMBERED = 100_000  # chunks per generation of a worker's memory
 ROW_TOKENS = 64  # what a rest counts besides its tokens when shards are cut
 
 CUT = ("salt long, id string, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -265,11 +267,11 @@ def pack(
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workers.enter("packing")
-        encoder = chunk_encoder(tokenizer)
+        encoder = chunk_encoder(tokenizer, remembered=REMEMBERED)
         row = (TaskContext.get().partitionId() << 40) if TaskContext.get() else 0
         end = np.array([end_id], np.int32)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 out: list[tuple] = []
                 for name, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     ids = np.concatenate([encoder.ids(text), end])
