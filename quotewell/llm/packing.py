@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm import workers
-from quotewell.llm.bpe import chunk_encoder, slices
+from quotewell.llm.bpe import chunk_encoder, int_lists, slices
 from quotewell.llm.common import whole_text
 from quotewell.sources.stages import Stages
 
@@ -50,6 +50,9 @@ PIECES = ("id string, start long, length long, ids_crc32 long, doc_tokens long,
           "offset long, ids array<int>")
 
 
+NO_IDS = np.empty(0, np.uint16)
+
+
 def ids_crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -278,13 +281,14 @@ def pack(
                     row += 1
                     salt = row * SCATTER % (1 << 64) >> 1
                     whole = len(ids) // window * window
+                    narrow = "<u4" if ids.max() >> 16 else "<u2"
                     for start in range(0, whole, window):
                         out.append((salt, name, start, window,
                                     ids_crc(ids[start:start + window]), len(ids),
-                                    ids[start:start + window].astype("<u4").tobytes()
+                                    ids[start:start + window].astype(narrow).tobytes()
                                     if ids_col else None))
                     if whole < len(ids):
-                        rest = ids[whole:].astype("<u4" if ids.max() >> 16 else "<u2")
+                        rest = ids[whole:].astype(narrow)
                         out.append((salt, name, whole, len(rest), None, len(ids), rest.tobytes()))
                 names = [f.split()[0] for f in CUT.split(", ")]
                 types = [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.binary()]
@@ -374,25 +378,27 @@ def pack(
         cut = [r for r in rows if r["ids_crc32"] is None]
         rests = [unpack(r["rest"], r["length"]) for r in cut]
         out: list[tuple] = []
+        held: list[np.ndarray] = []
         number = shard << 32
         for r in whole:
-            ids = unpack(r["rest"], window).tolist() if ids_col else None
-            out.append((r["id"], r["start"], window, r["ids_crc32"], r["doc_tokens"], number, 0,
-                        ids))
+            held.append(unpack(r["rest"], window) if ids_col else NO_IDS)
+            out.append((r["id"], r["start"], window, r["ids_crc32"], r["doc_tokens"], number, 0))
             number += 1
         for sequence in fill(rests, known.value[0], window):
             offset = 0
             for doc, start, length in sequence:
                 r, ids = cut[doc], rests[doc][start:start + length]
+                held.append(ids if ids_col else NO_IDS)
                 out.append((r["id"], r["start"] + start, length, ids_crc(ids), r["doc_tokens"],
-                            number, offset, ids.tolist() if ids_col else None))
+                            number, offset))
                 offset += length
             number += 1
         names = [f.split()[0] for f in PIECES.split(", ")]
-        types = [pa.string(), *[pa.int64()] * 6, pa.list_(pa.int32())]
-        return pa.Table.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names
-        )
+        types = [pa.string(), *[pa.int64()] * 6]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+        made = pa.Table.from_arrays([*columns, int_lists(held)], names)
+        workers.trim(collect=False)
+        return made
 
     packed = parts.mapInArrow(deal, DEALT).groupBy("shard").applyInArrow(fill_shard, PIECES)
     columns = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

@@ -22,9 +22,10 @@ def forgets(clear: Callable[[], None]) -> None:
     _forget.append(clear)
 
 
-def trim() -> None:
-    """Give freed memory back to the system."""
-    gc.collect()
+def trim(collect: bool = True) -> None:
+    """Give freed memory back to the system, that of circular garbage as well if asked."""
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
