@@ -829,7 +829,9 @@ def gbt_stump(p: Pipeline) -> DataFrame:
     split = forecast.first_split(p.spark, model, path, features)
     leaves = forecast.predict(model, train, features, cfg).groupBy("predicted").agg(
         F.count("*").alias("n"))
-    return rounded(rounded(leaves.join(split), 4, "predicted"), 0, "gain")
+    row = split.select(F.struct("*")).scalar()
+    both = leaves.withColumn("split", row).select("predicted", "n", "split.*")
+    return rounded(rounded(both, 4, "predicted"), 0, "gain")
 
 
 @query
