@@ -16,13 +16,16 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("steps", nargs="+", choices=[*STEPS, "all"])
     parser.add_argument("--folder", required=True, help="folder of the stage tables")
     parser.add_argument("--raw", help="raw quote CSV, for the steps clean and gaps")
+    parser.add_argument("--references", help="Parquet table of reference prices, instead of the "
+                        "configured ones, for the steps features and verify")
     parser.add_argument("--trees", type=int, default=TreeParams().n_trees)
     parser.add_argument("--reports", choices=["parquet", "csv"], default="parquet")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("quotewell").getOrCreate()
     workspace = Workspace(
-        spark, options.folder, options.raw, trees=TreeParams(n_trees=options.trees)
+        spark, options.folder, options.raw, trees=TreeParams(n_trees=options.trees),
+        references_path=options.references,
     )
     for step in STEPS if "all" in options.steps else options.steps:
         for name, report in STEPS[step](workspace).items():

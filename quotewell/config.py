@@ -55,7 +55,13 @@ class PanelConfig:
     low_price: str = "min_price"
     high_price: str = "max_price"
 
-    date_formats: tuple[str, ...] = ("yyyy-M-d", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d")
+    # First fit wins. Formats with a month name (MMM) see the text with single blanks between its
+    # parts; those without are not tried on a text that has letters.
+    date_formats: tuple[str, ...] = (
+        "yyyy-M-d", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "yyyyMMdd", "yyyy.M.d", "M/d/yy", "M-d-yy",
+        "d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy", "yyyy MMM d", "yyyy MMMM d",
+        "d MMM yy", "d MMMM yy",
+    )
     state_aliases: dict[str, str] = field(default_factory=lambda: dict(STATE_ALIASES))
     dropped_commodity: str = DROPPED_COMMODITY
     lower_iqr_factor: float = 1.5

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,13 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
 # A time of day behind a date: cut off, since prices are kept per day.
 TIME_OF_DAY = r"[T ]\s*\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*([AaPp][Mm]|Z|[+-]\d{2}:?\d{2})?$"
+# A day's name before a date and the ending of an ordinal: dropped. "Sept" is brought to "Sep".
+WEEKDAY_NAME = r"(?i)^(mon|tues?|wed(nes)?|thu(rs?)?|fri|sat(ur)?|sun)(day)?[,.]?\s+"
+ORDINAL = r"(?i)\b(\d{1,2})(st|nd|rd|th)\b"
+SEPT = r"(?i)\bsept\b"
+SEPARATORS = r"[\s,./-]+"
+# Two-digit years: from this one on in the 20th century, below it in the 21st.
+CENTURY_PIVOT = 69
 # The notations accepted for a number; anything else is missing.
 _NUMBER = r"\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*"
 NUMBER_PATTERN = f"^{_NUMBER}$"
@@ -40,10 +48,33 @@ def all_numbers(*columns: str) -> Column:
 
 
 def to_date(column: Column, formats: Iterable[str]) -> Column:
-    """Text to date by the first format that fits, without a time of day; NULL when none does."""
+    """Text to date by the first format that fits, without a time of day; NULL when none does.
+
+    Formats with a month name are tried on texts with letters only, the others on texts without:
+    a text that fits no format costs few attempts. Month names are English, in either case.
+    """
     day = strip(column)
     day = F.when(day.contains(":"), F.regexp_replace(day, TIME_OF_DAY, "")).otherwise(day)
-    return F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
+    words = F.regexp_replace(F.regexp_replace(day, WEEKDAY_NAME, ""), ORDINAL, "$1")
+    words = F.btrim(F.regexp_replace(F.regexp_replace(words, SEPT, "Sep"), SEPARATORS, " "))
+
+    def first_fit(text: Column, chosen: list[str]) -> Column:
+        return F.coalesce(*[parse_day(text, fmt) for fmt in chosen], F.lit(None).cast("date"))
+
+    formats = list(formats)
+    named = [fmt for fmt in formats if "MMM" in fmt]
+    plain = [fmt for fmt in formats if "MMM" not in fmt]
+    return F.when(day.rlike("[A-Za-z]"), first_fit(words, named)).otherwise(first_fit(day, plain))
+
+
+def parse_day(text: Column, fmt: str) -> Column:
+    """Text to date by one format; two-digit years are those from 1969 to 2068."""
+    day = F.try_to_date(text, fmt)
+    if re.search("y+", fmt).group() != "yy":
+        return day
+    # The parser puts two-digit years into 2000 to 2099.
+    late = F.year(day) >= 2000 + CENTURY_PIVOT
+    return F.when(late, F.add_months(day, -1200)).otherwise(day)
 
 
 def equals_ignoring_case(column: Column, text: str) -> Column:

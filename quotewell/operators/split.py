@@ -18,8 +18,10 @@ from quotewell.functions.scalars import (
     percent_change,
     round_half_up,
 )
+from quotewell.operators.panel import reference_ratio
 from quotewell.operators.profile import labels_long
 from quotewell.sources.schemas import FEATURES, schema_problems
+from quotewell.sources.stages import Stages
 
 
 def cutoff(df: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -244,12 +246,28 @@ def check_rows(counts: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def panel_integrity(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Types, date window and plausibility of every row of the feature panel."""
+def panel_integrity(
+    panel: DataFrame,
+    cfg: PanelConfig,
+    references: DataFrame | None = None,
+    stages: Stages | None = None,
+) -> DataFrame:
+    """Types, date window and plausibility of every row of the feature panel.
+
+    With a table of reference prices the ratio is worked out again and compared.
+    """
     date = F.col(cfg.date)
     mistyped = {problem.split(":")[0] for problem in schema_problems(panel, FEATURES)}
     first_year, last_year = cfg.expected_years
-    has_reference = F.lower(cfg.commodity).isin(*[name.lower() for name in cfg.reference_prices])
+    ratio = F.col("price_vs_msp")
+    if references is None:
+        labels = [name.lower() for name in cfg.reference_prices]
+        wrong_ratio = ratio.isNotNull() != F.lower(cfg.commodity).isin(*labels)
+    else:
+        given = panel.withColumn("given_ratio", ratio)
+        panel = reference_ratio(given, references, cfg, stages or Stages(panel.sparkSession))
+        off = ~close_to(F.col("given_ratio"), ratio, cfg.tolerance)
+        wrong_ratio = (F.col("given_ratio").isNull() != ratio.isNull()) | F.coalesce(off, F.lit(False))
 
     def implausible(name: str) -> Column:
         price = F.col(name)
@@ -259,7 +277,7 @@ def panel_integrity(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
         "date_window": ~F.year(date).between(first_year, last_year),
         "month_sin": ~close_to(F.col("month_sin"), month_sin(date), cfg.tolerance),
         "month_cos": ~close_to(F.col("month_cos"), month_cos(date), cfg.tolerance),
-        "reference_ratio": F.col("price_vs_msp").isNotNull() != has_reference,
+        "reference_ratio": wrong_ratio,
         "lag_1": implausible("lag_1"),
         "lag_7": implausible("lag_7"),
     }

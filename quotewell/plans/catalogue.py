@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.config import TreeParams
+from quotewell.config import PanelConfig, TreeParams
 from quotewell.functions import scalars
 from quotewell.functions.scalars import rounded
 from quotewell.operators import charts, cleaning, forecast, metrics, panel, profile, season, split
@@ -41,6 +41,12 @@ MESSY_HEADERS = [
 ]
 AUDITED = ("ECONOMY", "STANDARD", "PROMO", "SMALL", "TIN")
 
+# Ways to write a date, for the query that reads them all.
+SPELLINGS = (
+    "yyyy-MM-dd", "M/d/yyyy", "MM-dd-yyyy", "yyyyMMdd", "M/d/yy", "dd-MMM-yyyy", "d MMMM yyyy",
+    "MMM d, yyyy", "MMMM d, yyyy HH:mm", "EEEE, d MMM yyyy", "dd-MMM-yy", "yyyy MMM dd",
+)
+
 _pipelines: dict[tuple[str, str], Pipeline] = {}
 _lock = threading.Lock()
 
@@ -77,6 +83,19 @@ def coerce_dates_prices(p: Pipeline) -> DataFrame:
     return cleaning.coerce_prices(p.dated, CFG)
 
 
+@query
+def date_spellings(p: Pipeline) -> DataFrame:
+    """Each quote's date written in one of twelve ways and read again; rows per text."""
+    day = F.to_date(F.when(F.col(CFG.date).rlike("^[0-9]"), F.col(CFG.date)))
+    way = F.pmod(F.unix_date(day), F.lit(len(SPELLINGS)))
+    spelled = F.coalesce(*[F.when(way == k, F.date_format(day, fmt))
+                           for k, fmt in enumerate(SPELLINGS)], F.col(CFG.date))
+    return (
+        p.raw.groupBy(spelled.alias("spelled")).agg(F.count("*").alias("n"))
+        .withColumn("read_as", scalars.to_date(F.col("spelled"), PanelConfig().date_formats))
+    )
+
+
 @query
 def unreadable_dates(p: Pipeline) -> DataFrame:
     return cleaning.unreadable_dates(p.raw, CFG)
@@ -323,6 +342,21 @@ def reference_ratio(p: Pipeline) -> DataFrame:
     return rounded(_with_keys(rated, "price_vs_msp"), 4, "price_vs_msp")
 
 
+@query
+def reference_table_ratio(p: Pipeline) -> DataFrame:
+    """Prices over a table of reference prices: the lowest price of each commodity in an even
+    year, from the next year on."""
+    daily = panel.daily_panel(p.cleaned, CFG)
+    year = F.year(CFG.date)
+    references = (
+        daily.where(year % 2 == 0).groupBy(F.upper(CFG.commodity).alias(CFG.commodity),
+                                           F.make_date(year + 1, F.lit(1), F.lit(1)).alias("valid_from"))
+        .agg(F.min(CFG.price).alias("reference_price"))
+    )
+    rated = panel.reference_ratio(daily, references, CFG, p.stages)
+    return rounded(_with_keys(rated, "price_vs_msp"), 4, "price_vs_msp")
+
+
 @query
 def feature_panel(p: Pipeline) -> DataFrame:
     features = panel.feature_panel(p.cleaned, CFG)

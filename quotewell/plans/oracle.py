@@ -292,6 +292,25 @@ ORACLE: dict[str, str] = {
         WHERE try_cast(min_price AS double) IS NOT NULL
           AND try_cast(max_price AS double) IS NOT NULL
           AND try_cast(modal_price AS double) IS NOT NULL""",
+    "date_spellings": VIEWS + """
+        , given_days AS (SELECT price_date AS given, try_cast(price_date AS date) AS read_as
+                   FROM quotes_raw),
+        ways AS (SELECT *, (read_as - DATE '1970-01-01') % 12 AS way FROM given_days)
+        SELECT coalesce(CASE way
+                 WHEN 0 THEN given
+                 WHEN 1 THEN strftime(read_as, '%-m/%-d/%Y')
+                 WHEN 2 THEN strftime(read_as, '%m-%d-%Y')
+                 WHEN 3 THEN strftime(read_as, '%Y%m%d')
+                 WHEN 4 THEN strftime(read_as, '%-m/%-d/%y')
+                 WHEN 5 THEN strftime(read_as, '%d-%b-%Y')
+                 WHEN 6 THEN strftime(read_as, '%-d %B %Y')
+                 WHEN 7 THEN strftime(read_as, '%b %-d, %Y')
+                 WHEN 8 THEN strftime(read_as, '%B %-d, %Y 00:00')
+                 WHEN 9 THEN strftime(read_as, '%A, %-d %b %Y')
+                 WHEN 10 THEN strftime(read_as, '%d-%b-%y')
+                 WHEN 11 THEN strftime(read_as, '%Y %b %d') END, given) AS spelled,
+               read_as, count(*) AS n
+        FROM ways GROUP BY ALL""",
     "unreadable_dates": VIEWS + """
         SELECT regexp_replace(regexp_replace(price_date, '[0-9]', '9', 'g'), '[A-Za-z]', 'a', 'g')
                  AS form, count(*) AS n
@@ -474,6 +493,16 @@ ORACLE |= {
         FROM features""",
     "reference_ratio": VIEWS + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "price_vs_msp")} FROM features""",
+    "reference_table_ratio": VIEWS + f"""
+        , ref_prices AS (
+          SELECT upper(commodity) AS label, make_date(year(price_date) + 1, 1, 1) AS valid_from,
+                 min(modal_price) AS reference_price
+          FROM features WHERE year(price_date) % 2 = 0 GROUP BY ALL),
+        rated AS (
+          SELECT f.* REPLACE (f.modal_price / b.reference_price AS price_vs_msp)
+          FROM features f ASOF LEFT JOIN ref_prices b
+            ON upper(f.commodity) = b.label AND f.price_date >= b.valid_from)
+        SELECT {_DATE_KEYS}, {rounded(4, "price_vs_msp")} FROM rated""",
     "feature_panel": VIEWS + f"""
         SELECT {_DATE_KEYS}, {rounded(4, "modal_price", *MODEL_FEATURES[:10], "price_vs_msp")},
                day_of_week, day_of_year FROM features""",

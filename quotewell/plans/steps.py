@@ -37,6 +37,7 @@ class Workspace:
     raw_path: str | None = None
     cfg: PanelConfig = field(default_factory=PanelConfig)
     trees: TreeParams = field(default_factory=TreeParams)
+    references_path: str | None = None
 
     def __post_init__(self) -> None:
         self.stages = Stages(self.spark)
@@ -59,6 +60,12 @@ class Workspace:
         used = {*CLEANED.names, *self.cfg.keys, self.cfg.date, *self.cfg.price_columns}
         return raw.select(*[name for name in raw.columns if name in used])
 
+    def references(self) -> DataFrame | None:
+        """The Parquet table of reference prices, if there is one."""
+        if self.references_path is None:
+            return None
+        return self.spark.read.parquet(self.references_path)
+
     def cleaned(self) -> DataFrame:
         return tables.read_table(self.spark, self.path("cleaned"), CLEANED)
 
@@ -114,7 +121,8 @@ def granularity(ws: Workspace) -> Reports:
 
 def features(ws: Workspace) -> Reports:
     """Table ``cleaned`` -> table ``features``, one folder per commodity."""
-    built = panel.feature_panel(ws.cleaned(), ws.cfg).select(*FEATURES.names)
+    built = panel.feature_panel(ws.cleaned(), ws.cfg, ws.references(), ws.stages)
+    built = built.select(*FEATURES.names)
     tables.write_table(built, ws.path("features"), partition_by=[ws.cfg.commodity])
     return {"nulls": profile.null_totals(ws.features())}
 
@@ -124,7 +132,7 @@ def verify(ws: Workspace) -> Reports:
     rows = ws.features()
     keys = [*ws.cfg.keys, ws.cfg.date]
     return {
-        "integrity": split.panel_integrity(rows, ws.cfg),
+        "integrity": split.panel_integrity(rows, ws.cfg, ws.references(), ws.stages),
         "sample": profile.spot_sample(rows, keys, ws.cfg.seed),
     }
 

@@ -205,3 +205,21 @@ def test_dates_with_a_time_unpadded_dates_and_unreadable_ones(spark):
     assert [r.price_date for r in parsed] == [day] * len(texts) + [None] * 6
     forms = {r.form: r.n for r in cleaning.unreadable_dates(df, CFG).collect()}
     assert forms == {"9999-99-99": 2, "aaaa": 2, "9 aaa": 1}
+
+
+def test_dates_with_month_names_two_digit_years_and_without_separators(spark):
+    expected = {
+        "05-Jan-2024": (2024, 1, 5), "5 january 2024": (2024, 1, 5), "JAN 5, 2024": (2024, 1, 5),
+        "January 5, 2024 10:30": (2024, 1, 5), "Friday, 5 Jan 2024": (2024, 1, 5),
+        "Fri 5th Jan 2024": (2024, 1, 5), "2024-Jan-05": (2024, 1, 5), "20240105": (2024, 1, 5),
+        "2024.1.5": (2024, 1, 5), "1/5/24": (2024, 1, 5), "01-05-24": (2024, 1, 5),
+        "5-Sept-1999": (1999, 9, 5), "1/5/68": (2068, 1, 5), "1/5/69": (1969, 1, 5),
+        "29-Feb-72": (1972, 2, 29), "2/29/23": None, "30-Feb-2024": None, "5 Janu 2024": None,
+        "202401": None, "Mon": None, "": None, "5th": None,
+    }
+    df = spark.createDataFrame([(t,) for t in expected], "price_date string")
+    found = {
+        r.text: r.price_date
+        for r in cleaning.parse_date_column(df.selectExpr("*", "price_date AS text"), CFG).collect()
+    }
+    assert found == {t: d and datetime.date(*d) for t, d in expected.items()}

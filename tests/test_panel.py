@@ -147,3 +147,55 @@ def test_spot_sample_is_stable(spark):
     assert first == sorted(profile.spot_sample(rows.repartition(5), keys, 42).collect())
     assert len(first) == 3
     assert first != sorted(profile.spot_sample(rows, keys, 43).collect())
+
+
+REFERENCES = "commodity string, reference_price double, valid_from date, state string"
+
+
+def test_reference_prices_from_a_table(spark, stages):
+    day = datetime.date
+    rows = [
+        ("A", "Wheat", day(2023, 12, 31), 100.0), ("A", "Wheat", day(2024, 1, 1), 100.0),
+        ("A", "wheat", day(2024, 6, 1), 100.0), ("A", "Onion", day(2024, 1, 1), 100.0),
+        ("A", "Rye", day(2024, 1, 1), 100.0), ("A", "Oats", day(2024, 1, 1), 100.0),
+        ("A", None, day(2024, 1, 1), 100.0),
+    ]
+    prices = [
+        ("WHEAT", 50.0, day(2024, 1, 1), "x"), ("wheat", 200.0, day(2024, 6, 1), "x"),
+        ("Rye", 0.0, None, "x"), ("Oats", 25.0, None, "x"), (None, 1.0, None, "x"),
+        (None, 2.0, None, "x"), ("Corn", None, None, "x"),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    references = spark.createDataFrame(prices, REFERENCES)
+    found = panel.reference_ratio(frame, references, CFG, stages)
+    assert found.columns == [*frame.columns, "price_vs_msp"]
+    assert {(r.commodity, r.price_date): r.price_vs_msp for r in found.collect()} == {
+        ("Wheat", day(2023, 12, 31)): None, ("Wheat", day(2024, 1, 1)): 2.0,
+        ("wheat", day(2024, 6, 1)): 0.5, ("Onion", day(2024, 1, 1)): None,
+        ("Rye", day(2024, 1, 1)): None, ("Oats", day(2024, 1, 1)): 4.0,
+        (None, day(2024, 1, 1)): None,
+    }
+    none = panel.reference_ratio(frame, references.limit(0), CFG, stages).collect()
+    assert len(none) == len(rows) and all(r.price_vs_msp is None for r in none)
+    timeless = references.where("commodity = 'Oats'").select("commodity", "reference_price")
+    assert panel.reference_ratio(frame.limit(0), timeless, CFG, stages).count() == 0
+    with pytest.raises(ValueError, match="oats"):
+        panel.reference_ratio(frame, timeless.union(timeless), CFG, stages)
+
+
+def test_integrity_with_a_table_of_reference_prices(spark, stages):
+    quotes = spark.createDataFrame(irregular_rows(), SCHEMA)
+    name = quotes.first().commodity
+    references = spark.createDataFrame(
+        [(name, 7.0, datetime.date(1900, 1, 1), "x")], REFERENCES
+    )
+    good = panel.feature_panel(quotes, CFG, references, stages)
+    assert good.where("price_vs_msp IS NOT NULL").count() > 0
+
+    def ok(rows):
+        checks = split.panel_integrity(rows, CFG, references, stages).collect()
+        return {r.check_name: r.ok for r in checks}["reference_ratio"]
+
+    assert ok(good)
+    assert not ok(good.withColumn("price_vs_msp", good["price_vs_msp"] * 2))
+    assert not ok(good.selectExpr("* EXCEPT (price_vs_msp)", "cast(null AS double) price_vs_msp"))
