@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,23 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") ->
     key = free_name(docs, "dropped_id")
     gone = dropped.toDF(key)
     return docs.join(gone, docs[id_col] == gone[key], "left_anti")
+
+
+def lowest(
+    rows: DataFrame, at: str, ties: str, limit: int, total: int, condition: Column | None = None
+) -> pa.Table:
+    """Column ``ties`` of the ``limit`` rows with the lowest 64-bit hashes ``at``, ties by ``ties``.
+
+    ``total`` is the number of rows for which ``condition`` holds; only those count. Only rows below a hash that about twice as many rows as
+    wanted are under take part in the ordering, so what reaches its one task does not grow with
+    the table. If hashes are so uneven that too few rows lie there, all rows take part.
+    """
+    under = (2 * limit + 100) / max(1, total)
+    bounds = [int(under * (1 << 64)) - (1 << 63)] if under < 1 else []
+    for part in [*(rows.where(F.col(at) < bound) for bound in bounds), rows]:
+        if condition is not None:  # asked after the bound, which costs less
+            part = part.where(condition)
+        chosen = part.orderBy(at, ties).limit(limit).select(ties).toArrow()
+        if len(chosen) >= min(limit, total):
+            break
+    return chosen

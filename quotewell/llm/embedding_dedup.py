@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewell.llm.common import lowest
 from quotewell.llm.components import components
 from quotewell.sources.stages import Stages
 
@@ -160,7 +161,8 @@ def near_vectors(
     total = classes.count()
     n_bits = substring_bits(total)
     n_tables = tables_for(n_bits, least)
-    sample = classes.orderBy("class").limit(FIT_ROWS).select("vector").toArrow().column("vector")
+    hashed = classes.select(F.xxhash64("class").alias("at"), "vector")
+    sample = lowest(hashed, "at", "vector", FIT_ROWS, total).column("vector")
     by_size: dict[int, list[np.ndarray]] = {}
     for unit in _units(sample):
         by_size.setdefault(len(unit), []).append(unit)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm import workers
-from quotewell.llm.common import whole_text
+from quotewell.llm.common import lowest, whole_text
 
 KINDS = ("assign", "access", "hex", "markov")
 # Fixed forms, on UTF-8 bytes with A-Z lower-cased where letters may be in either case.
@@ -181,10 +181,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dete
                         text.alias("text")).where(F.char_length("text") <= FIT_CHARS)
     likely = F.col("text").rlike(r"(?i)(password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}")
     half = FIT_DOCUMENTS // 2
-    chosen = texts.where(likely).orderBy("at", "text").limit(half).union(
-        texts.where(~likely).orderBy("at", "text").limit(half)
-    )
-    return train(*labelled_strings(row.text for row in chosen.toLocalIterator()))
+    totals = texts.agg(F.count_if(likely).alias("likely"), F.count("*").alias("all")).first()
+    chosen = [
+        *lowest(texts, "at", "text", half, totals.likely, likely)["text"],
+        *lowest(texts, "at", "text", half, totals.all - totals.likely, ~likely)["text"],
+    ]
+    return train(*labelled_strings(text.as_py() for text in chosen))
 
 
 def find(text: str, detector: Detector | None) -> list[tuple[str, int, int]]:
