@@ -7,7 +7,7 @@ task. Text is hashed in full only where length and prefix are both shared.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm.common import ascii_lower, free_name, whole_text
@@ -16,6 +16,52 @@ from quotewell.sources.stages import Stages
 PREFIX_CHARS = 64
 
 
+def _length(text: Column) -> Column:
+    return F.octet_length(text)
+
+
+def _prefix(text: Column, chars: int) -> Column:
+    return F.xxhash64(ascii_lower(F.substring(text, 1, chars)))
+
+
+def _shared_prefixes(docs: DataFrame, stages: Stages, text_col: str, chars: int) -> DataFrame:
+    """A stage table of the (bytes, prefix) that several rows share."""
+    text = whole_text(text_col)
+    rows = docs.select(_length(text).alias("bytes"), _prefix(text, chars).alias("prefix"))
+    # Unused columns are pruned: the first level evaluates the length only.
+    lengths = stages.write(
+        rows.groupBy("bytes").count().where("count > 1").select("bytes"), "dedup-lengths"
+    )
+    return stages.write(
+        rows.join(lengths, "bytes", "left_semi").groupBy("bytes", "prefix").count()
+        .where("count > 1").select("bytes", "prefix"),
+        "dedup-prefixes",
+    )
+
+
+def _survivors(
+    docs: DataFrame, prefixes: DataFrame, stages: Stages, id_col: str, text_col: str, chars: int
+) -> tuple[DataFrame, DataFrame]:
+    """Stage tables: (id, full) of the rows that share length and prefix, and the groups of
+    several rows with one full hash."""
+    text = whole_text(text_col)
+    keyed = docs.select(
+        F.col(id_col).alias("id"), _length(text).alias("bytes"),
+        _prefix(text, chars).alias("prefix"), text.alias("text"),
+    )
+    survivors = stages.write(
+        keyed.join(prefixes, ["bytes", "prefix"], "left_semi")
+        .select("id", F.sha2(ascii_lower(F.col("text")), 256).alias("full")),
+        "dedup-survivors",
+    )
+    groups = stages.write(
+        survivors.groupBy("full").agg(F.max("id").alias("keep_id"), F.count("*").alias("size"))
+        .where("size > 1"),
+        "dedup-groups",
+    )
+    return survivors, groups
+
+
 def exact_dedup(
     docs: DataFrame,
     stages: Stages,
@@ -33,39 +79,15 @@ def exact_dedup(
     are ignored. ``text_sha256`` is null for documents that needed no full hash, unless
     ``digest_all`` asks for it. Without rows the result is empty.
     """
+    prefixes = _shared_prefixes(docs, stages, text_col, prefix_chars)
+    survivors, groups = _survivors(docs, prefixes, stages, id_col, text_col, prefix_chars)
     text = whole_text(text_col)
     rows = docs.select(
         F.col(id_col).alias("id"),
-        F.octet_length(text).alias("bytes"),
-        F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars))).alias("prefix"),
+        _length(text).alias("bytes"),
+        _prefix(text, prefix_chars).alias("prefix"),
         F.sha2(ascii_lower(text), 256).alias("full"),
     )
-    # Unused columns are pruned: the first level evaluates the length only, the second also the
-    # prefix, and the full hash is evaluated where a row of the second level survives.
-    lengths = stages.write(
-        rows.groupBy("bytes").count().where("count > 1").select("bytes"), "dedup-lengths"
-    )
-    prefixes = stages.write(
-        rows.join(lengths, "bytes", "left_semi").groupBy("bytes", "prefix").count()
-        .where("count > 1").select("bytes", "prefix"),
-        "dedup-prefixes",
-    )
-    keyed = docs.select(
-        F.col(id_col).alias("id"),
-        F.octet_length(text).alias("bytes"),
-        F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars))).alias("prefix"),
-        text.alias("text"),
-    )
-    survivors = stages.write(
-        keyed.join(prefixes, ["bytes", "prefix"], "left_semi")
-        .select("id", F.sha2(ascii_lower(F.col("text")), 256).alias("full")),
-        "dedup-survivors",
-    )
-    groups = stages.write(
-        survivors.groupBy("full").agg(F.max("id").alias("keep_id"), F.count("*").alias("size"))
-        .where("size > 1"),
-        "dedup-groups",
-    )
     single = rows.join(prefixes, ["bytes", "prefix"], "left_anti").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         (F.col("full") if digest_all else F.lit(None).cast("string")).alias("text_sha256"),
@@ -84,27 +106,38 @@ def exact_dedup(
 
 
 def drop_copies(
-    docs: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text",
+    prefix_chars: int = PREFIX_CHARS,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`exact_dedup` keeps.
 
     Rows go by id and text, since an id may be repeated with another text. Of rows that repeat a
-    kept id and its text any one stays; rows without an id stay.
+    kept id and its text any one stays; rows without an id stay. Rows that share their length and
+    prefix with no other go straight through; only the rest is hashed and joined.
     """
-    found = exact_dedup(docs, stages, id_col, text_col)
+    prefixes = _shared_prefixes(docs, stages, text_col, prefix_chars)
+    survivors, groups = _survivors(docs, prefixes, stages, id_col, text_col, prefix_chars)
     full = free_name(docs, "full_hash")
     gone, same = free_name(docs, "dropped_id"), free_name(docs, "dropped_hash")
-    # Single rows have no hash; copies all have one.
+    # Within a group only the largest id is kept. A single row is no group, but a kept row may be
+    # repeated, and then it is in one.
     counts = stages.write(
-        found.where(F.col(id_col).isNotNull() & F.col("text_sha256").isNotNull())
-        .groupBy(F.col(id_col).alias(gone), F.col("text_sha256").alias(same))
-        .agg(F.min("kept").alias("kept"), F.count("*").alias("rows"))
+        survivors.where("id IS NOT NULL").join(groups, "full")
+        .groupBy(F.col("id").alias(gone), F.unhex("full").alias(same))
+        .agg(F.min(F.col("id") == F.col("keep_id")).alias("kept"), F.count("*").alias("rows"))
         .where("not kept or rows > 1"),
         "dedup-dropped",
     )
-    rows = docs.withColumn(full, F.sha2(ascii_lower(whole_text(text_col)), 256))
-    keys = counts.select(gone, same)
+    length, prefix = free_name(docs, "n_bytes"), free_name(docs, "prefix_hash")
+    text = whole_text(text_col)
+    keyed = docs.withColumns({length: _length(text), prefix: _prefix(text, prefix_chars)})
+    on = (F.col(length) == prefixes["bytes"]) & (F.col(prefix) == prefixes["prefix"])
+    single = keyed.join(prefixes, on, "left_anti")
+    shared = keyed.join(prefixes, on, "left_semi").withColumn(
+        full, F.unhex(F.sha2(ascii_lower(text), 256)))
     match = (F.col(id_col) == F.col(gone)) & (F.col(full) == F.col(same))
+    left = shared.join(counts.select(gone, same), match, "left_anti")
     repeated = counts.where("kept").select(gone, same)
-    once = rows.join(repeated, match, "left_semi").dropDuplicates([id_col, full])
-    return rows.join(keys, match, "left_anti").unionByName(once).select(*docs.columns)
+    once = shared.join(repeated, match, "left_semi").dropDuplicates([id_col, full])
+    kept = left.unionByName(once).select(*docs.columns)
+    return single.select(*docs.columns).unionByName(kept)

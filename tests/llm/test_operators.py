@@ -76,6 +76,34 @@ def test_exact_with_repeated_ids(spark, stages):
     assert kept == [(5, "A one"), (7, "C"), (8, "D"), (9, "B two")]
 
 
+def test_exact_without_ids_and_with_clashing_columns(spark, stages):
+    """A row without an id counts in its group, never is the one that stays, and is not dropped."""
+    rows = [(None, "Same"), (4, "same"), (2, "SAME"), (None, "lone"), (None, "LONE"),
+            (6, "sane"), (3, ""), (1, None)]
+    frame = spark.createDataFrame(
+        [(i, t, "b", "p", "f", "n") for i, t in rows],
+        "doc_id long, text string, bytes string, prefix string, full_hash string, n_bytes string")
+    found = {(r.doc_id, r.keep_id, r.group_size, r.kept)
+             for r in exact_dedup.exact_dedup(frame, stages).collect()}
+    assert found == {(None, 4, 3, False), (4, 4, 3, True), (2, 4, 3, False), (None, None, 2, True),
+                     (6, 6, 1, True), (3, 3, 2, True), (1, 3, 2, False)}
+    kept = exact_dedup.drop_copies(frame, stages)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [
+        (0, "LONE"), (0, "Same"), (0, "lone"), (3, ""), (4, "same"), (6, "sane")]
+    assert exact_dedup.drop_copies(frame.limit(0), stages).count() == 0
+
+
+def test_one_copy_among_many_of_its_length(spark, stages):
+    """One copy among rows that share its length, prefixes told apart or not."""
+    rows = [(i, f"text number {i} of its own") for i in range(400)]
+    rows.append((900, "text number 7 of its own"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for chars in (4, 64):
+        kept = exact_dedup.drop_copies(frame, stages, prefix_chars=chars)
+        assert {r.doc_id for r in kept.collect()} == {*range(400), 900} - {7}
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "</s> \\1 <s>"),
