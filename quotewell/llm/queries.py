@@ -123,8 +123,9 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 3) == 1
-    sample = fit_sample(docs, table(spark, sf_dir, "labels"), "quality", ~held_out, Stages(spark))
-    return quality.score(docs, quality.fit(sample)).select(
+    sample, shares = balanced_sample(
+        docs, table(spark, sf_dir, "labels"), "quality", ~held_out, Stages(spark))
+    return quality.score(docs, quality.fit(sample, shares)).select(
         "doc_id", held_out.alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -24,6 +24,7 @@ from quotewell.llm import (
     toxicity,
     workers,
 )
+from quotewell.llm.labelled import balanced_sample
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -331,6 +332,41 @@ def test_classifiers(spark, docs, none):
     assert toxicity.score(none, tagger).count() == 0
 
 
+def test_a_rare_label_is_still_learned(spark, stages):
+    """Two bad documents among 2,000 labelled ones, of which 200 are fitted."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"Word{i} of" for i in rng.integers(0, 900, 30)) for _ in range(2000)]
+    texts[700] = texts[1400] = "@@ ## $$ " * 30
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, int(i not in (700, 1400))) for i in range(2000)], "doc_id long, quality int")
+    sample, shares = balanced_sample(
+        frame, labels, "quality", F.lit(True), stages, fit_rows=200)
+    assert shares == (0.001, 0.999) and len(sample) == 102
+    model = quality.fit(sample, shares)
+    scores = model.scores(np.stack([quality.features(text) for text in texts]))
+    assert max(scores[[700, 1400]]) < 0.5
+    assert (np.delete(scores, [700, 1400]) >= 0.5).mean() > 0.98
+
+
+def test_the_threshold_is_a_quantile_under_the_given_shares():
+    rng = np.random.default_rng(7)
+    pool = [(" ".join(f"Word{i} of" for i in rng.integers(0, 900, 30)), 1) for _ in range(60)]
+    pool += [("@@ ## $$ " * int(n), 0) for n in rng.integers(1, 40, 20)]
+    plain, weighted = quality.fit(pool), quality.fit(pool, (0.25, 0.75))
+    assert plain.threshold == weighted.threshold
+    strengths = ((np.stack([quality.features(t) for t, _ in pool]) - plain.mean) / plain.scale
+                 ) @ plain.weights
+    by_hand = sorted(zip(strengths, (label for _, label in pool)))
+    for shares in ((0.01, 0.99), (0.6, 0.4)):
+        mass, k = 0.0, 0
+        while mass < shares[0] * (1 - 1e-9):
+            mass += shares[1] / 60 if by_hand[k][1] else shares[0] / 20
+            k += 1
+        expected = (by_hand[k - 1][0] + by_hand[k][0]) / 2
+        assert np.isclose(quality.fit(pool, shares).threshold, expected)
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(9)
     odds, first = rng.normal(size=9), np.zeros(9, bool)
