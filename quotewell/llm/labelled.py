@@ -75,6 +75,28 @@ def balanced_sample(
     return _texts(docs, chosen, id_col, text_col, fit_chars), shares
 
 
+def labelled_texts(
+    docs: DataFrame,
+    labels: DataFrame,
+    label_col: str,
+    training: Column,
+    stages: Stages,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row (id, label, text) for every labelled training document, whole and of any length.
+
+    Labels are 0 and 1. What counts of repeated and contradictory rows is as in ``fit_sample``.
+    """
+    agreed = stages.write(
+        _agreed(labels, label_col, training, id_col).where("label IN (0, 1)")
+        .select("id", F.col("label").cast("int").alias("label")),
+        f"agreed-{label_col}",
+    )
+    # Documents are shuffled at every size: a broadcast would hold a label for each of them.
+    return _joined(docs.where(training), agreed.hint("merge"), id_col, text_col)
+
+
 def _agreed(labels: DataFrame, label_col: str, training: Column, id_col: str) -> DataFrame:
     """Training ids that all their label rows agree on."""
     return (
@@ -85,15 +107,23 @@ def _agreed(labels: DataFrame, label_col: str, training: Column, id_col: str) ->
     )
 
 
-def _texts(
-    docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, fit_chars: int
-) -> list[tuple[str, int]]:
+def _joined(
+    docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, fit_chars: int | None = None
+) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    found = (
-        texts.where(F.char_length("text") <= fit_chars).join(chosen, "id")
+    if fit_chars is not None:
+        texts = texts.where(F.char_length("text") <= fit_chars)
+    return (
+        texts.join(chosen, "id")
         .groupBy("id", "label")
         .agg(F.max(F.struct(F.char_length("text"), F.col("text"))).alias("row"))
         .select("id", "label", F.col("row.text"))
     )
+
+
+def _texts(
+    docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, fit_chars: int
+) -> list[tuple[str, int]]:
+    found = _joined(docs, chosen, id_col, text_col, fit_chars)
     rows = sorted((r.id, r.text, int(r.label)) for r in found.toLocalIterator())
     return [(text, label) for _, text, label in rows]

@@ -23,7 +23,7 @@ from quotewell.llm import (
     toxicity,
     whitening,
 )
-from quotewell.llm.labelled import balanced_sample, fit_sample, fold
+from quotewell.llm.labelled import balanced_sample, fit_sample, fold, labelled_texts
 from quotewell.sources.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,9 +123,9 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 3) == 1
-    sample, shares = balanced_sample(
-        docs, table(spark, sf_dir, "labels"), "quality", ~held_out, Stages(spark))
-    return quality.score(docs, quality.fit(sample, shares)).select(
+    stages = Stages(spark)
+    texts = labelled_texts(docs, table(spark, sf_dir, "labels"), "quality", ~held_out, stages)
+    return quality.score(docs, quality.fit_all(texts, stages)).select(
         "doc_id", held_out.alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

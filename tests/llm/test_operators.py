@@ -19,12 +19,13 @@ from quotewell.llm import (
     minhash,
     packing,
     quality,
+    queries,
     secret_scan,
     substring_dedup,
     toxicity,
     workers,
 )
-from quotewell.llm.labelled import balanced_sample
+from quotewell.llm.labelled import balanced_sample, labelled_texts
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -349,6 +350,44 @@ def test_a_rare_label_is_still_learned(spark, stages):
     assert (np.delete(scores, [700, 1400]) >= 0.5).mean() > 0.98
 
 
+def test_quality_is_fitted_to_every_labelled_row(spark, stages, monkeypatch):
+    """Bad documents that are all long, and blocks with few of them."""
+    rng = np.random.default_rng(8)
+    good = [" ".join(f"Word{i} of" for i in rng.integers(0, 900, 30)) for _ in range(90)]
+    bad = ["@@ ## $$ " * int(n) for n in rng.integers(2_500, 2_600, 10)]
+    docs = spark.createDataFrame(
+        [*enumerate(good + bad), (3, "short"), (None, "w")], "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [*((i, int(i < 90)) for i in range(100)), (0, 1), (7, 0), (8, None), (None, 0), (500, 0)],
+        "doc_id long, quality int")
+    texts = labelled_texts(docs, labels, "quality", F.lit(True), stages)
+    found = {r.id: (r.text, r.label) for r in texts.collect()}
+    assert found == {i: (t, int(i < 90)) for i, t in enumerate(good + bad) if i != 7}
+
+    whole = quality.fit(list(found.values()))
+    model = quality.fit_all(texts, stages)
+    for name in ("mean", "scale", "weights", "threshold", "spread"):
+        assert np.allclose(getattr(model, name), getattr(whole, name), rtol=1e-6, atol=1e-8)
+
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(quality, "PARTNERS", 3)
+    model = quality.fit_all(texts, stages)
+    scores = {i: model.scores(quality.features(t)[None])[0] for i, (t, _) in found.items()}
+    assert {i for i, score in scores.items() if score < 0.5} == set(range(90, 100))
+    assert quality.fit_all(texts.where("label = 1"), stages) == 1.0
+    assert quality.fit_all(texts.where("label = 2"), stages) == 0.0
+
+
+def test_op7_learns_from_long_documents(spark, tmp_path):
+    texts = [f"Word{i} of a plain text {i}." for i in range(30)] + ["@@ ## $$ " * 2_500] * 30
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 30)) for i in range(60)], "doc_id long, quality int"
+                          ).write.parquet(f"{tmp_path}/labels.parquet")
+    rows = queries.QUERIES["op7_quality"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows if r.predicted} == set(range(30))
+
+
 def test_the_threshold_is_a_quantile_under_the_given_shares():
     rng = np.random.default_rng(7)
     pool = [(" ".join(f"Word{i} of" for i in rng.integers(0, 900, 30)), 1) for _ in range(60)]
