@@ -18,6 +18,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,18 @@ CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]*")
 SINGLE = re.compile(f" ?[{LETTER}]+\\Z")
 REMEMBERED = 300_000  # chunks per generation; a worker holds two generations
 LONGEST_REMEMBERED = 64  # characters of a chunk
+REMEMBERED_BYTES = 24 << 20  # of a worker's memory of chunks, where batches are encoded at once
+TOKEN_ID = attrgetter("id")
+
+# Kinds of bytes for ``chunk_starts``; and the last and last but one bytes of White_Space in UTF-8.
+_MARK, _SPACE, _LETTER, _BEYOND = range(4)
+_KIND = np.full(256, _BEYOND, np.uint8)
+_KIND[:128] = _MARK
+_KIND[[*range(9, 14), 32]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_ENDS_SPACE, _IN_SPACE = np.zeros(256, bool), np.zeros(256, bool)
+_ENDS_SPACE[[*range(0x80, 0x8B), 0x85, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_IN_SPACE[[0xC2, 0x9A, 0x80, 0x81]] = True
 
 
 def chunks_of(text: str) -> list[str]:
@@ -140,6 +153,21 @@ class ChunkEncoder:
         made = self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0]
         return array("i", made.ids).tobytes()
 
+    def encode_all(self, chunks: list[str]) -> tuple[array, list[int]]:
+        """Ids of the chunks one after the other, and where those of each end."""
+        mapped = "".join(chunks).encode().decode("latin-1").translate(self.visible)
+        ids, ends, at = array("i"), [], 0
+        for chunk in chunks:
+            end = at + (len(chunk) if chunk.isascii() else len(chunk.encode()))
+            if self.words_are_whole and SINGLE.match(chunk):
+                ids.extend(map(TOKEN_ID, self.model.tokenize(mapped[at:end])))
+            else:
+                made = self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0]
+                ids.extend(made.ids)
+            ends.append(len(ids))
+            at = end
+        return ids, ends
+
     def _pair(self, chunk: str) -> tuple[list[int], list[tuple[int, int]]]:
         made = self.tokenizer.encode(chunk, add_special_tokens=False)
         return made.ids, made.offsets
@@ -162,6 +190,99 @@ class ChunkEncoder:
         return np.array(ids, np.int32), np.array(spans, np.int32).reshape(-1, 2)
 
 
+def chunk_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where texts in UTF-8, laid one after the other, can be cut; ``begins`` are their first bytes.
+
+    As in ``chunks_of`` before white space that follows something else, and before what is no letter
+    after a letter. Only places before an ASCII character are taken.
+    """
+    kinds = _KIND[data]
+    high = np.flatnonzero(data[:-1] == 0xC3)  # letters from U+00C0 on, but for two signs
+    high = high[(data[high + 1] != 0x97) & (data[high + 1] != 0xB7)]
+    kinds[high + 1] = _LETTER
+    before, here = kinds[:-1], kinds[1:]
+    cut = (here == _SPACE) & (before != _SPACE)
+    cut |= (here == _MARK) & (before == _LETTER)
+    after = np.flatnonzero(cut & (before == _BEYOND))  # white space beyond ASCII goes on in ASCII
+    cut[after[_ENDS_SPACE[data[after]] & _IN_SPACE[data[after - 1]]]] = False
+    first = np.zeros(len(data), bool)
+    first[1:] = cut
+    first[begins[begins < len(data)]] = True
+    return np.flatnonzero(first)
+
+
+class BatchEncoder:
+    """Ids of whole batches of texts.
+
+    Distinct chunks of a batch are looked up at once in a memory of ``remembered`` bytes. When it
+    is full, chunks that were asked for again and those that came last stay.
+    """
+
+    def __init__(self, chunks: ChunkEncoder, remembered: int):
+        self.chunks, self.remembered = chunks, remembered
+        self.words = pa.array([], pa.binary())
+        self.ends = np.zeros(1, np.int64)
+        self.known = np.empty(0, np.int32)
+        self.asked = np.empty(0, bool)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where those of each begin, with the end."""
+        texts = pa.concat_arrays([texts.cast(pa.large_binary())])
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[:len(texts) + 1]
+        if not len(texts) or bounds[-1] == bounds[0]:
+            return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        starts = chunk_starts(data, bounds)
+        chunks = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts),
+            [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)],
+        ).dictionary_encode()
+        at = self._places(chunks.dictionary.cast(pa.binary()))[chunks.indices.to_numpy()]
+        ids, ends = self._ids_at(at)
+        return ids, ends[np.searchsorted(starts, bounds)]
+
+    def _ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at these places, one after the other, and where those of each begin."""
+        sizes = (self.ends[1:] - self.ends[:-1])[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        take = np.repeat(self.ends[at] - ends[:-1], sizes)
+        take += np.arange(ends[-1])
+        return self.known[take], ends
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where in the memory the words are; missing ones are added."""
+        if self.words.nbytes + self.known.nbytes + self.ends.nbytes > self.remembered:
+            self._forget()
+        at = pa.compute.index_in(words, value_set=self.words)
+        missing = words.filter(at.is_null())
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        self.asked[at[at >= 0]] = True
+        at[at < 0] = len(self.words) + np.arange(len(missing))
+        made, ends = self.chunks.encode_all(missing.cast(pa.string()).to_pylist())
+        self.words = pa.concat_arrays([self.words, missing])
+        self.known = np.concatenate([self.known, np.frombuffer(made, np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.array(ends, np.int64)])
+        self.asked = np.concatenate([self.asked, np.zeros(len(missing), bool)])
+        return at
+
+    def _forget(self) -> None:
+        size = len(self.words)
+        self.asked[size - size // 4:] = True
+        kept = np.flatnonzero(self.asked)[-(size // 2):] if size > 1 else np.empty(0, np.int64)
+        self.known, self.ends = self._ids_at(kept)
+        self.words = self.words.take(pa.array(kept))
+        self.asked = np.zeros(len(kept), bool)
+
+
+@lru_cache(maxsize=4)
+def batch_encoder(
+    path: str, pattern: str | None = None, remembered: int = REMEMBERED_BYTES
+) -> BatchEncoder:
+    """One encoder per Python worker, which outlives the tasks it serves."""
+    return BatchEncoder(ChunkEncoder(load_tokenizer(path, pattern), 0), remembered)
+
+
 @lru_cache(maxsize=4)
 def chunk_encoder(
     path: str, pattern: str | None = None, remembered: int = REMEMBERED
@@ -171,6 +292,7 @@ def chunk_encoder(
 
 
 workers.forgets(chunk_encoder.cache_clear)
+workers.forgets(batch_encoder.cache_clear)
 
 
 def int_lists(arrays: Iterable[np.ndarray]) -> pa.ListArray:

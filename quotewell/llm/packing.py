@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm import workers
-from quotewell.llm.bpe import chunk_encoder, int_lists, slices
+from quotewell.llm.bpe import chunk_encoder  # noqa: F401  (ids of single texts)
+from quotewell.llm.bpe import batch_encoder, int_lists, slices
 from quotewell.llm.common import whole_text
 from quotewell.sources.stages import Stages
 
@@ -40,7 +41,6 @@ PLACE_TERMS = 3
 NO_TERM = 0xFFFFFFFF
 SAMPLED = 64  # rests a shard, to cut the order where shards end
 SLICE_BYTES = 2 << 20
-REMEMBERED = 100_000  # chunks per generation of a worker's memory
 ROW_TOKENS = 64  # what a rest counts besides its tokens when shards are cut
 
 CUT = ("salt long, id string, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -270,14 +270,18 @@ def pack(
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workers.enter("packing")
-        encoder = chunk_encoder(tokenizer, remembered=REMEMBERED)
+        encoder = batch_encoder(tokenizer)
         row = (TaskContext.get().partitionId() << 40) if TaskContext.get() else 0
         end = np.array([end_id], np.int32)
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
                 out: list[tuple] = []
-                for name, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    ids = np.concatenate([encoder.ids(text), end])
+                found, begins = encoder.ids(part.column(1))
+                for name, at, to in zip(
+                    part.column(0).to_pylist(), begins[:-1].tolist(), begins[1:].tolist(),
+                    strict=True,
+                ):
+                    ids = np.concatenate([found[at:to], end])
                     row += 1
                     salt = row * SCATTER % (1 << 64) >> 1
                     whole = len(ids) // window * window
@@ -296,6 +300,7 @@ def pack(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names,
                 )
+        workers.trim(collect=False)
 
     def unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for rest, length in zip(batch.column("rest").to_pylist(),

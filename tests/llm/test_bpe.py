@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -98,3 +99,22 @@ def test_cut_characters(reference):
     ids = bpe.chunk_encoder(PATH, PATTERN).ids(text).tolist()
     assert "".join(bpe.decode_stream([[i] for i in ids], table)) == text
     assert b"".join(table[i] for i in ids) == text.encode()
+
+
+@pytest.mark.parametrize(("path", "pattern"), [(PATH, PATTERN), (JSON, None)])
+def test_batches_are_encoded_as_whole_texts(path, pattern):
+    """Cuts between every two odd parts, and a memory that forgets in between."""
+    tokenizer = bpe.load_tokenizer(path, pattern)
+    texts = strange_texts()[::3]
+    texts += [a + b + c for a in PARTS for b in [*PARTS[:8], "\xa0", "×", "à"] for c in PARTS]
+    whole = [m.ids for m in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for remembered in (0, 2_000, 1 << 20):
+        encoder = bpe.BatchEncoder(bpe.ChunkEncoder(tokenizer), remembered)
+        for at in range(0, len(texts), 900):
+            batch = pa.array(["skipped", *texts[at:at + 900]])[1:]
+            ids, begins = encoder.ids(batch)
+            found = [ids[a:b].tolist() for a, b in zip(begins, begins[1:], strict=False)]
+            assert found == whole[at:at + 900]
+    for empty in ([], ["", ""]):
+        ids, begins = encoder.ids(pa.array(empty, pa.string()))
+        assert len(ids) == 0 and begins.tolist() == [0] * (len(empty) + 1)
