@@ -40,7 +40,7 @@ CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]*")
 SINGLE = re.compile(f" ?[{LETTER}]+\\Z")
 REMEMBERED = 300_000  # chunks per generation; a worker holds two generations
 LONGEST_REMEMBERED = 64  # characters of a chunk
-REMEMBERED_BYTES = 24 << 20  # of a worker's memory of chunks, where batches are encoded at once
+REMEMBERED_BYTES = 14 << 20  # of a worker's memory of chunks, where batches are encoded at once
 TOKEN_ID = attrgetter("id")
 
 # Kinds of bytes for ``chunk_starts``; and the last and last but one bytes of White_Space in UTF-8.
@@ -215,14 +215,16 @@ class BatchEncoder:
     """Ids of whole batches of texts.
 
     Distinct chunks of a batch are looked up at once in a memory of ``remembered`` bytes. When it
-    is full, chunks that were asked for again and those that came last stay.
+    is full, chunks that were asked for again and those that came last stay. Ids have 16 bits where
+    the vocabulary allows it, 32 elsewhere.
     """
 
     def __init__(self, chunks: ChunkEncoder, remembered: int):
         self.chunks, self.remembered = chunks, remembered
         self.words = pa.array([], pa.binary())
-        self.ends = np.zeros(1, np.int64)
-        self.known = np.empty(0, np.int32)
+        self.ends = np.zeros(1, np.int32)
+        small = chunks.tokenizer.get_vocab_size() <= 1 << 16
+        self.known = np.empty(0, np.uint16 if small else np.int32)
         self.asked = np.empty(0, bool)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +232,7 @@ class BatchEncoder:
         texts = pa.concat_arrays([texts.cast(pa.large_binary())])
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[:len(texts) + 1]
         if not len(texts) or bounds[-1] == bounds[0]:
-            return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+            return self.known[:0], np.zeros(len(texts) + 1, np.int32)
         data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0]:bounds[-1]]
         bounds = bounds - bounds[0]
         starts = chunk_starts(data, bounds)
@@ -244,10 +246,11 @@ class BatchEncoder:
 
     def _ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words at these places, one after the other, and where those of each begin."""
-        sizes = (self.ends[1:] - self.ends[:-1])[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        sizes = self.ends[at + 1] - self.ends[at]
+        ends = np.zeros(len(at) + 1, np.int32)
+        np.cumsum(sizes, out=ends[1:])
         take = np.repeat(self.ends[at] - ends[:-1], sizes)
-        take += np.arange(ends[-1])
+        take += np.arange(ends[-1], dtype=np.int32)
         return self.known[take], ends
 
     def _places(self, words: pa.Array) -> np.ndarray:
@@ -256,13 +259,14 @@ class BatchEncoder:
             self._forget()
         at = pa.compute.index_in(words, value_set=self.words)
         missing = words.filter(at.is_null())
-        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        at = np.array(at.fill_null(-1))
         self.asked[at[at >= 0]] = True
-        at[at < 0] = len(self.words) + np.arange(len(missing))
+        at[at < 0] = len(self.words) + np.arange(len(missing), dtype=np.int32)
         made, ends = self.chunks.encode_all(missing.cast(pa.string()).to_pylist())
         self.words = pa.concat_arrays([self.words, missing])
-        self.known = np.concatenate([self.known, np.frombuffer(made, np.int32)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.array(ends, np.int64)])
+        made = np.frombuffer(made, np.int32).astype(self.known.dtype)
+        self.known = np.concatenate([self.known, made])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.array(ends, np.int32)])
         self.asked = np.concatenate([self.asked, np.zeros(len(missing), bool)])
         return at
 

@@ -93,7 +93,7 @@ class Order:
 
     def __init__(self, corpus: Corpus, shards: int):
         by_df = np.argsort(corpus.df, kind="stable")
-        self.rank = np.empty(len(by_df), np.int64)
+        self.rank = np.empty(len(by_df), np.int32)
         self.rank[by_df] = np.arange(len(by_df))
         ordered = corpus.df[by_df]
         self.least = int(np.searchsorted(ordered, 2))
@@ -101,7 +101,7 @@ class Order:
 
     def key(self, rest: np.ndarray) -> tuple[bytes, bytes]:
         """The place that the rest would have by itself, and its key, as bytes in their order."""
-        ranks = np.sort(self.rank[np.unique(rest)])
+        ranks = np.unique(self.rank[rest])
 
         def rarest(least: int, terms: int) -> bytes:
             at = np.searchsorted(ranks, least)
