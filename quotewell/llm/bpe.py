@@ -40,7 +40,7 @@ CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]*")
 SINGLE = re.compile(f" ?[{LETTER}]+\\Z")
 REMEMBERED = 300_000  # chunks per generation; a worker holds two generations
 LONGEST_REMEMBERED = 64  # characters of a chunk
-REMEMBERED_BYTES = 14 << 20  # of a worker's memory of chunks, where batches are encoded at once
+REMEMBERED_BYTES = 8 << 20  # of a worker's memory of chunks, where batches are encoded at once
 TOKEN_ID = attrgetter("id")
 
 # Kinds of bytes for ``chunk_starts``; and the last and last but one bytes of White_Space in UTF-8.

@@ -40,7 +40,7 @@ KEY_TERMS = 4
 PLACE_TERMS = 3
 NO_TERM = 0xFFFFFFFF
 SAMPLED = 64  # rests a shard, to cut the order where shards end
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 ROW_TOKENS = 64  # what a rest counts besides its tokens when shards are cut
 
 CUT = ("salt long, id string, start long, length long, ids_crc32 long, doc_tokens long, "
