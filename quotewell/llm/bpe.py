@@ -257,11 +257,15 @@ class BatchEncoder:
         """Where in the memory the words are; missing ones are added."""
         if self.words.nbytes + self.known.nbytes + self.ends.nbytes > self.remembered:
             self._forget()
-        at = pa.compute.index_in(words, value_set=self.words)
-        missing = words.filter(at.is_null())
-        at = np.array(at.fill_null(-1))
-        self.asked[at[at >= 0]] = True
-        at[at < 0] = len(self.words) + np.arange(len(missing), dtype=np.int32)
+        # The table for the look-up is made of the batch, which has fewer words than the memory.
+        held = pa.compute.index_in(self.words, value_set=words)
+        found = np.flatnonzero(held.is_valid())
+        self.asked[found] = True
+        at = np.full(len(words), -1, np.int32)
+        at[held.drop_null().to_numpy()] = found
+        new = at < 0
+        missing = words.filter(pa.array(new))
+        at[new] = len(self.words) + np.arange(len(missing), dtype=np.int32)
         made, ends = self.chunks.encode_all(missing.cast(pa.string()).to_pylist())
         self.words = pa.concat_arrays([self.words, missing])
         made = np.frombuffer(made, np.int32).astype(self.known.dtype)

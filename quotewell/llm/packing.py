@@ -14,8 +14,9 @@ from __future__ import annotations
 import math
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ PLACE_TERMS = 3
 NO_TERM = 0xFFFFFFFF
 SAMPLED = 64  # rests a shard, to cut the order where shards end
 SLICE_BYTES = 1 << 20
+BLOCK_RESTS = 256  # rests whose tokens are sorted at once
 ROW_TOKENS = 64  # what a rest counts besides its tokens when shards are cut
 
 CUT = ("salt long, id string, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -70,15 +72,33 @@ class Corpus:
     mean: float
 
 
-def counted(rests: Iterator[np.ndarray]) -> tuple[np.ndarray, int, int]:
+def distinct(rests: Sequence[np.ndarray], terms: np.ndarray, span: int) -> np.ndarray:
+    """``number of a rest * span + term``, once each and in order; ``terms`` are below ``span``."""
+    kind = np.int32 if len(rests) * span < 1 << 31 else np.int64
+    pairs = np.repeat(np.arange(len(rests), dtype=kind) * kind(span), [len(r) for r in rests])
+    pairs += terms.astype(kind)
+    pairs.sort()
+    return pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+
+
+def lowest(pairs: np.ndarray, rests: int, span: int, least: int, terms: int) -> list[bytes]:
+    """For each rest the first of its terms in ``distinct`` pairs from ``least`` on, as bytes."""
+    first = np.arange(rests, dtype=pairs.dtype) * span
+    at = np.searchsorted(pairs, first + least)[:, None] + np.arange(terms)
+    ends = np.searchsorted(pairs, first + span)[:, None]
+    found = pairs[np.minimum(at, len(pairs) - 1)] % span
+    return [row.tobytes() for row in np.where(at < ends, found, NO_TERM).astype(">u4")]
+
+
+def counted(rests: Iterable[np.ndarray]) -> tuple[np.ndarray, int, int]:
     """Rests that hold each token, number of rests, number of tokens."""
     df, n, tokens = np.zeros(1, np.int64), 0, 0
-    for rest in rests:
-        terms = np.unique(rest)
-        if terms[-1] >= len(df):
-            df = np.concatenate([df, np.zeros(int(terms[-1]) + 1, np.int64)])
-        df[terms] += 1
-        n, tokens = n + 1, tokens + len(rest)
+    for block in batched(rests, BLOCK_RESTS):
+        terms = np.concatenate(block)
+        span = int(terms.max()) + 1
+        found = np.bincount(distinct(block, terms, span) % span, minlength=len(df))
+        found[:len(df)] += df
+        df, n, tokens = found, n + len(block), tokens + len(terms)
     return df, n, tokens
 
 
@@ -99,18 +119,14 @@ class Order:
         self.least = int(np.searchsorted(ordered, 2))
         self.common = int(np.searchsorted(ordered, max(2, -(-corpus.rests // shards))))
 
-    def key(self, rest: np.ndarray) -> tuple[bytes, bytes]:
-        """The place that the rest would have by itself, and its key, as bytes in their order."""
-        ranks = np.unique(self.rank[rest])
-
-        def rarest(least: int, terms: int) -> bytes:
-            at = np.searchsorted(ranks, least)
-            out = np.full(terms, NO_TERM, ">u4")
-            chosen = ranks[at:at + terms]
-            out[:len(chosen)] = chosen
-            return out.tobytes()
-
-        return rarest(self.common, PLACE_TERMS), rarest(self.least, KEY_TERMS)
+    def keys(self, rests: Iterable[np.ndarray]) -> Iterator[tuple[bytes, bytes]]:
+        """The place that each rest would have by itself, and its key, as bytes in their order."""
+        span = len(self.rank)
+        for block in batched(rests, BLOCK_RESTS):
+            pairs = distinct(block, self.rank[np.concatenate(block)], span)
+            places = lowest(pairs, len(block), span, self.common, PLACE_TERMS)
+            yield from zip(places, lowest(pairs, len(block), span, self.least, KEY_TERMS),
+                           strict=True)
 
 
 def full_key(places: dict[bytes, bytes], key: bytes, salt: int) -> bytes:
@@ -163,16 +179,18 @@ class Index:
         by_doc = postings[np.argsort(self.docs[postings], kind="stable")]
         return np.split(terms[by_doc], np.searchsorted(self.docs[by_doc], np.arange(1, size)))
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share a term with ``seed``, best first; ties by number."""
+    def neighbours(self, seed: int, left: np.ndarray | bool = True) -> np.ndarray:
+        """Documents that share a term with ``seed``, best first; ties by number.
+
+        ``left`` tells for each document whether it is asked for.
+        """
         scores = self.dense[self.asked_dense[seed]].sum(0)
-        spans = [slice(self.begin[t], self.end[t]) for t in self.asked[seed]]
-        if spans:
-            scores += np.bincount(
-                np.concatenate([self.docs[s] for s in spans]),
-                np.concatenate([self.weight[s] for s in spans]), self.size,
-            )
-        found = np.flatnonzero(scores)
+        begin, end = self.begin[self.asked[seed]], self.end[self.asked[seed]]
+        if len(begin):
+            ends = np.cumsum(end - begin)
+            at = np.repeat(end - ends, end - begin) + np.arange(ends[-1])
+            scores += np.bincount(self.docs[at], self.weight[at], self.size)
+        found = np.flatnonzero(scores * left)
         return found[np.argsort(-scores[found], kind="stable")]
 
 
@@ -209,7 +227,7 @@ def fill(
         current: list[tuple[int, int, int]] = []
         room = take(seed, window)
         if room:
-            for doc in index.neighbours(seed).tolist():
+            for doc in index.neighbours(seed, used < sizes).tolist():
                 room = take(doc, room)
                 if not room:
                     break
@@ -303,9 +321,10 @@ def pack(
         workers.trim(collect=False)
 
     def unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for rest, length in zip(batch.column("rest").to_pylist(),
-                                batch.column("length").to_pylist(), strict=True):
-            yield unpack(rest, length)
+        for start in range(0, batch.num_rows, BLOCK_RESTS):
+            part = batch.slice(start, BLOCK_RESTS)
+            yield from map(unpack, part.column("rest").to_pylist(),
+                           part.column("length").to_pylist())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workers.enter("packing tables")
@@ -332,7 +351,7 @@ def pack(
         workers.enter("packing tables")
         order = known.value[1]
         for batch in batches:
-            made = [order.key(rest) for rest in unpacked(batch)]
+            made = list(order.keys(unpacked(batch)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("salt"), batch.column("length"),
                  pa.array([place for place, _ in made], pa.binary()),
@@ -361,15 +380,14 @@ def pack(
         places, bounds = dealing.value
         for batch in batches:
             shard = []
-            for salt, length, crc, rest in zip(
-                *(batch.column(c).to_pylist() for c in ("salt", "length", "ids_crc32", "rest")),
-                strict=True,
-            ):
+            cut = batch.select(["length", "rest"]).filter(batch.column("ids_crc32").is_null())
+            keys = order.keys(unpacked(cut))
+            for salt, crc in zip(batch.column("salt").to_pylist(),
+                                 batch.column("ids_crc32").to_pylist(), strict=True):
                 if crc is not None:  # a whole window needs no neighbours
                     shard.append(salt * shards >> 63)
                 else:
-                    key = order.key(unpack(rest, length))[1]
-                    shard.append(bisect_right(bounds, full_key(places, key, salt)))
+                    shard.append(bisect_right(bounds, full_key(places, next(keys)[1], salt)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int64()), *batch.columns[1:]],
                 ["shard", *batch.schema.names[1:]],

@@ -118,3 +118,19 @@ def test_batches_are_encoded_as_whole_texts(path, pattern):
     for empty in ([], ["", ""]):
         ids, begins = encoder.ids(pa.array(empty, pa.string()))
         assert len(ids) == 0 and begins.tolist() == [0] * (len(empty) + 1)
+
+
+def test_a_small_batch_is_looked_up_without_a_table_of_the_memory(monkeypatch):
+    encoder = bpe.BatchEncoder(bpe.ChunkEncoder(bpe.load_tokenizer(JSON)), 1 << 20)
+    encoder.ids(pa.array([" ".join(f"w{i}" for i in range(5000))]))
+    look_up, tables = pa.compute.index_in, []
+
+    def counting(words, value_set):
+        tables.append(len(value_set))
+        return look_up(words, value_set=value_set)
+
+    monkeypatch.setattr(pa.compute, "index_in", counting)
+    ids, _ = encoder.ids(pa.array(["w1 w2", "new w4999"]))
+    whole = encoder.chunks.tokenizer.encode_batch(["w1 w2", "new w4999"], add_special_tokens=False)
+    assert ids.tolist() == [i for made in whole for i in made.ids]
+    assert tables and max(tables) < 10

@@ -221,6 +221,45 @@ def test_packing_scores_with_all_terms():
     assert all(a >= b - 1e-9 for a, b in zip(ranked, ranked[1:], strict=False))
 
 
+def test_packing_asks_only_for_rests_that_have_tokens_left(monkeypatch):
+    rng = np.random.default_rng(9)
+    rests = [rng.integers(0, 60, rng.integers(5, 90)) for _ in range(80)]
+    df, n, tokens = packing.counted(rests)
+    corpus = packing.Corpus(df, n, tokens / n)
+    score, asked = packing.Index.neighbours, []
+
+    def counting(index, seed, *left):
+        asked.append(len(score(index, seed, *left)))
+        return score(index, seed, *left)
+
+    monkeypatch.setattr(packing.Index, "neighbours", counting)
+    sequences = packing.fill(rests, corpus, 128)
+    packed = sorted((d, start + k) for s in sequences for d, start, n in s for k in range(n))
+    assert packed == [(d, k) for d, rest in enumerate(rests) for k in range(len(rest))]
+    # Each window uses rests up, so fewer and fewer are scored.
+    assert sum(asked) < 0.7 * len(asked) * len(rests)
+
+
+def test_packing_keys_and_counts_of_blocks(monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_RESTS", 7)
+    rng = np.random.default_rng(10)
+    rests = [rng.integers(0, rng.integers(1, 70_000), rng.integers(1, 60)) for _ in range(60)]
+    rests += [np.array([3]), np.array([69_999] * 5)]
+    df, n, tokens = packing.counted(iter(rests))
+    assert (n, tokens) == (len(rests), sum(map(len, rests)))
+    plain = np.zeros(len(df), np.int64)
+    for rest in rests:
+        plain[np.unique(rest)] += 1
+    assert df.tolist() == plain.tolist()
+    order = packing.Order(packing.Corpus(df, n, tokens / n), 20)
+    for rest, found in zip(rests, order.keys(iter(rests)), strict=True):
+        ranks = np.unique(order.rank[rest])
+        for least, terms, key in ((order.common, packing.PLACE_TERMS, found[0]),
+                                  (order.least, packing.KEY_TERMS, found[1])):
+            own = [*ranks[ranks >= least].tolist(), *[packing.NO_TERM] * terms][:terms]
+            assert np.frombuffer(key, ">u4").tolist() == own
+
+
 def test_vectors(spark, stages):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
