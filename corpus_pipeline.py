@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.llm import exact_dedup, minhash, packing, quality, secret_scan
-from quotewell.llm.common import free_name, whole_text
+from quotewell.llm.common import free_name
 from quotewell.llm.labelled import fit_sample, fold
 from quotewell.sources.stages import Stages
 
@@ -41,9 +41,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by the name of its kind; ``n_chars``, if there, follows the text."""
-    spans = free_name(docs, "secret_spans")
-    found = secret_scan.scan(docs, secret_scan.fit(docs), spans_col=spans)
-    clean = F.when(F.size(spans) > 0, secret_scan.redact(whole_text("text"), F.col(spans)))
+    name = free_name(docs, "clean_text")
+    found = secret_scan.clean(docs, secret_scan.fit(docs), clean_col=name)
+    clean = F.col(name)
     columns = {"text": F.coalesce(clean, "text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

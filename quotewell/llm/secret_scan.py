@@ -266,6 +266,31 @@ def redact(text: Column, spans: Column) -> Column:
     return F.arrow_udf(run, "string")(text, spans)
 
 
+def clean(
+    docs: DataFrame, detector: Detector | None, text_col: str = "text", clean_col: str = "clean"
+) -> DataFrame:
+    """All columns of ``docs`` with the redacted text added or replaced, null without a secret.
+
+    The same as ``redact`` after ``scan``, found and replaced at once: a task needs one Python
+    worker instead of two, and only texts that hold a secret are sent back.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(detector)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        workers.enter("secrets")
+        for texts in batches:
+            made: list[str | None] = []
+            for text in texts:
+                whole = text.as_py()
+                spans = [{"start": s, "end": e, "kind": k}
+                         for k, s, e in find(whole, sent.value)]
+                made.append(redacted(whole, spans) if spans else None)
+            yield pa.array(made, pa.string())
+        workers.trim()
+
+    return docs.withColumn(clean_col, F.arrow_udf(run, "string")(whole_text(text_col)))
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:end of all spans, joined by commas."""
     return F.array_join(F.transform(
