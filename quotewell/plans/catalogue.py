@@ -757,6 +757,7 @@ def gbt_three_way(p: Pipeline) -> DataFrame:
 
 @query
 def gbt_importance(p: Pipeline) -> DataFrame:
+    p.train(DIRECT, RESIDUAL)
     return p.importance(DIRECT).unionByName(p.importance(RESIDUAL))
 
 
@@ -788,6 +789,7 @@ def gbt_scored_rows(p: Pipeline) -> DataFrame:
         scored = p.predictions(kind).withColumn("model", F.lit(kind))
         return _with_keys(scored, "model", CFG.price, finite.alias("scored"))
 
+    p.train(DIRECT, RESIDUAL)
     return rounded(rows(DIRECT).unionByName(rows(RESIDUAL)), 4, CFG.price)
 
 
@@ -805,6 +807,7 @@ def gbt_model_errors(p: Pipeline) -> DataFrame:
             "mae_base", "rmse_base", "mape_pct_base", agrees.alias("agrees"),
         )
 
+    p.train(DIRECT, RESIDUAL)
     return checked("direct", gbt_comparison(p), "mae_model", DIRECT).unionByName(
         checked("three-way", gbt_three_way(p), "mae_resid", RESIDUAL)
     )
@@ -872,6 +875,7 @@ def gbt_stump(p: Pipeline) -> DataFrame:
 def gbt_cross_check(p: Pipeline) -> DataFrame:
     """The direct model's logged errors beside those on the rows all models share."""
     path = p.stages.path("run-log")
+    p.train(DIRECT, RESIDUAL)
     own_rows = metrics.forecast_metrics(
         p.predictions(DIRECT), CFG.price, {DIRECT: "predicted"}, CFG.commodity, CFG.scope
     )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from quotewell.config import PanelConfig, TreeParams
 from quotewell.operators import cleaning, forecast, panel
@@ -79,15 +81,30 @@ class Pipeline:
         """The rows all models are compared on: those of the split that have a prior report."""
         return forecast.residual_target(self.split, self.cfg)
 
+    def train(self, *kinds: str) -> None:
+        """Fit and save those of the models that are not fitted yet, at the same time.
+
+        The trees of a model come one after the other, so a single fit leaves a cluster idle.
+        """
+        with self._lock:
+            missing = [kind for kind in kinds if kind not in self._models]
+            if not missing:
+                return
+            # The threads take no lock that this one may hold.
+            split = self.split
+            paths = [self.stages.path(f"model-{kind}") for kind in missing]
+
+            def fitted(kind: str, path: str) -> TrainedModel:
+                return training.train(split, kind, self.cfg, self.trees, self.stages, path)
+
+            with ThreadPoolExecutor(len(missing)) as pool:
+                models = pool.map(inheritable_thread_target(self.spark)(fitted), missing, paths)
+                self._models.update(zip(missing, models, strict=True))
+
     def trained(self, kind: str) -> TrainedModel:
         """The direct or the residual model, fitted and saved on first use."""
-        with self._lock:
-            if kind not in self._models:
-                self._models[kind] = training.train(
-                    self.split, kind, self.cfg, self.trees, self.stages,
-                    self.stages.path(f"model-{kind}"),
-                )
-            return self._models[kind]
+        self.train(kind)
+        return self._models[kind]
 
     def predictions(self, kind: str) -> DataFrame:
         """The model's test rows with its ``predicted`` price, scored once per session."""
@@ -98,9 +115,18 @@ class Pipeline:
         return self.stages.once(f"scored-{kind}", scored)
 
     def three_way_metrics(self) -> DataFrame:
-        """Errors of all three models on the same rows; the direct model is read from disk."""
-        direct = training.load(DIRECT, self.cfg, self.trained(DIRECT).path)
-        return training.three_way_metrics(self.split, self.trained(RESIDUAL), direct, self.cfg)
+        """Errors of all three models on the same rows, scored once per session.
+
+        The direct model is read from disk.
+        """
+        self.train(DIRECT, RESIDUAL)
+
+        def scored() -> DataFrame:
+            direct = training.load(DIRECT, self.cfg, self.trained(DIRECT).path)
+            return training.three_way_metrics(
+                self.split, self.trained(RESIDUAL), direct, self.cfg)
+
+        return self.stages.once("three-way", scored)
 
     def importance(self, kind: str) -> DataFrame:
         return training.importance(self.spark, self.trained(kind)).withColumn(
