@@ -3,16 +3,18 @@
 Whether a line ends inside quotes depends on whether it began inside them, so a line is a function
 from that state to the next one. The functions of a split are composed where it is read, a prefix
 over the splits of a file gives the state at which each split begins, and with it every line knows
-where it stands. A record that crosses the border of a split is put together from its lines.
+where it stands. Records are put together where their split is read, so that neither lines nor
+records are written or shuffled; only of a record that crosses the border of a split its pieces are.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,38 +88,94 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of splits in order, with the id of the line that begins their record."""
-    now, inside, record, heading = None, False, -1, False
-    for batch in batches:
-        for key, part in _runs(batch):
-            if key != now:
-                now, inside, record = key, bool(part.column("inside")[0].as_py()), -1
-                heading = key[1] == 0
-            at, opens, stays = _changing(part)
-            before = np.empty(part.num_rows, bool)
-            start = 0
-            for k in at.tolist():
-                before[start:k + 1] = inside
-                inside = bool(stays[k] if inside else opens[k])
-                start = k + 1
-            before[start:] = inside
-            after = np.append(before[1:], inside)
-            ids = np.where(before, -1, part.column("id").to_numpy())
-            ids[0] = max(ids[0], record)
-            records = np.maximum.accumulate(ids)
-            record = int(records[-1])
-            first = np.zeros(part.num_rows, bool)
-            if heading:
-                told = np.flatnonzero(~part.column("blank").to_numpy(zero_copy_only=False))
-                if len(told):
-                    first[told[0]], heading = True, False
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(name) for name in ("file", "block", "id", "value")),
-                 pa.array(records, mask=records < 0), pa.array(~before & ~after),
-                 pa.array(first)],
-                names=["file", "block", "id", "value", "record", "whole", "first"],
-            )
+def _joined(lines: list[pa.Array], starts: np.ndarray) -> pa.Array:
+    """Lines put together to records, which begin at the given places."""
+    values = pa.concat_arrays(lines).cast(pa.string())
+    offsets = pa.array(np.append(starts, len(values)), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), "\n")
+
+
+WHOLE, LEFT, BEGUN = 0, 1, 2  # a record, the end of one begun in a split before, the start of one
+PIECE = "file string, block long, kind int, first boolean, value string"
+
+
+def _pieces(
+    begin_inside: frozenset[tuple[str, int]], kept: Callable[[int, bool], bool]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function from the lines of splits, in order, to their records and pieces of records.
+
+    ``begin_inside`` names the splits that begin inside quotes; ``kept`` chooses what is returned
+    by kind and by whether it is the file's first record. Blank lines are no records.
+    """
+
+    def batch_of(key: tuple, kind: int, first: np.ndarray, values: pa.Array) -> pa.RecordBatch:
+        n = len(values)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()),
+             pa.array([kind] * n, pa.int32()), pa.array(first, pa.bool_()),
+             values.cast(pa.string())],
+            names=["file", "block", "kind", "first", "value"])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, inside, heading = None, False, False
+        # Lines of the record that the lines read last belong to, if it is not closed yet.
+        held: list[pa.Array] = []
+        held_kind, held_first = BEGUN, False
+
+        def close(kind: int) -> Iterator[pa.RecordBatch]:
+            if held and kept(kind, held_first):
+                yield batch_of(now, kind, np.array([held_first]), _joined(held, np.zeros(1, int)))
+            held.clear()
+
+        for batch in batches:
+            for key, part in _runs(batch):
+                if key != now:
+                    yield from close(held_kind)
+                    now, inside, heading = key, key in begin_inside, key[1] == 0
+                    held_kind, held_first = LEFT if inside else BEGUN, False
+                at, opens, stays = _changing(part)
+                before = np.empty(part.num_rows, bool)
+                start = 0
+                for k in at.tolist():
+                    before[start:k + 1] = inside
+                    inside = bool(stays[k] if inside else opens[k])
+                    start = k + 1
+                before[start:] = inside
+                blank = part.column("blank").to_numpy(zero_copy_only=False)
+                first = np.zeros(part.num_rows, bool)
+                if heading and not blank.all():
+                    first[np.argmin(blank)], heading = True, False
+                lines = part.column("value")
+                starts = np.flatnonzero(~before)
+                head = int(starts[0]) if len(starts) else part.num_rows
+                if head:
+                    held.append(lines.slice(0, head))
+                    held_first |= bool(first[:head].any())
+                if not len(starts):
+                    continue
+                yield from close(LEFT if held_kind == LEFT else WHOLE)
+                # The last record of the lines is held until it is known to be closed.
+                held_kind, whole = BEGUN, starts
+                if inside:
+                    last, whole = int(starts[-1]), starts[:-1]
+                    held.append(lines.slice(last))
+                    held_first = bool(first[last:].any())
+                    lines = lines.slice(0, last)
+                else:
+                    held_first = False
+                if not len(whole):
+                    continue
+                count = len(lines) - head
+                told = np.add.reduceat(first[head:head + count].astype(int), whole - head) > 0
+                sizes = np.diff(np.append(whole, head + count))
+                chosen = (sizes > 1) | ~blank[whole]
+                chosen &= np.where(told, kept(WHOLE, True), kept(WHOLE, False))
+                if chosen.any():
+                    values = _joined([lines.slice(head)], whole - head)
+                    yield batch_of(now, WHOLE, told[chosen], values.filter(pa.array(chosen)))
+        yield from close(held_kind)
+
+    return found
 
 
 def _split_states(lines: DataFrame, stages: Stages) -> DataFrame:
@@ -145,38 +203,40 @@ def _split_states(lines: DataFrame, stages: Stages) -> DataFrame:
     return states.drop("after")
 
 
-def records(spark: SparkSession, path: str, stages: Stages) -> DataFrame:
-    """(file, first, value): one row per record of the files, their first ones marked."""
+def records(spark: SparkSession, path: str, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """(file, value) twice: the first record of each file, and one row per other record.
+
+    The lines are read once for the first records and for the pieces of records that cross a
+    split, which are few and are written, and again whenever the others are asked for.
+    """
     lines = _lines(spark, path)
-    placed = stages.write(
-        lines.withColumn("blank", _blank()).join(_split_states(lines, stages), SPLIT)
-        .select(*SPLIT, "id", "opens", "stays", "inside", "blank", "value")
-        .sortWithinPartitions(*SPLIT, "id")
-        .mapInArrow(_placed, "file string, block long, id long, value string, record long, "
-                             "whole boolean, first boolean"),
-        "csv-lines",
-    )
-    whole = placed.where(F.col("whole") & ~_blank()).select("file", "first", "value")
-    parts = placed.where("NOT whole")
-    # A split that begins inside quotes goes on with the last record begun in a split before it.
-    begun = parts.groupBy(*SPLIT).agg(F.max("record").alias("last"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    open_before = F.last(
-        F.when(F.col("last").isNotNull(), F.struct("block", "last")), ignorenulls=True)
-    carried = begun.select(*SPLIT, open_before.over(earlier).alias("from"))
-    joined = parts.join(carried, SPLIT).select(
-        "file", "first", "value", "block", "id",
-        F.coalesce("record", "from.last").alias("record"),
-    )
-    pieces = F.transform(F.sort_array(F.collect_list(F.struct("block", "id", "value"))),
+    begin_inside = frozenset(
+        (row.file, row.block)
+        for row in _split_states(lines, stages).where("inside").select(*SPLIT).toLocalIterator())
+    told = lines.withColumn("blank", _blank()).select(*SPLIT, "opens", "stays", "blank", "value")
+    few = stages.write(
+        told.mapInArrow(_pieces(begin_inside, lambda kind, first: first or kind != WHOLE), PIECE),
+        "csv-pieces")
+    # The end of a record goes with the last one begun in a split before its own.
+    place = Window.partitionBy("file").orderBy("block", "kind")
+    number = F.sum((F.col("kind") == BEGUN).cast("int")).over(place)
+    values = F.transform(F.sort_array(F.collect_list(F.struct("block", "kind", "value"))),
                          lambda piece: piece["value"])
-    crossed = joined.groupBy("file", "record").agg(
-        F.max("first").alias("first"), F.array_join(pieces, "\n").alias("value")
-    ).select("file", "first", "value")
-    return stages.write(
-        whole.unionByName(crossed)
-        .withColumn("value", F.regexp_replace("value", "\r$", "")), "csv-records")
+    crossed = (
+        few.where(F.col("kind") != WHOLE).withColumn("number", number).groupBy("file", "number")
+        .agg(F.max("first").alias("first"), F.array_join(values, "\n").alias("value"))
+    )
+    whole = told.mapInArrow(
+        _pieces(begin_inside, lambda kind, first: kind == WHOLE and not first), PIECE)
+
+    def ended(rows: DataFrame) -> DataFrame:
+        return rows.select("file", F.regexp_replace("value", "\r$", "").alias("value"))
+
+    heads = few.where(F.col("kind") == WHOLE).select("file", "value").unionByName(
+        crossed.where("first").select("file", "value"))
+    rest = whole.select("file", "value").unionByName(
+        crossed.where("NOT first").select("file", "value"))
+    return ended(heads), ended(rest)
 
 
 def read_quoted(
@@ -196,10 +256,8 @@ def read_quoted(
     )
     found = stages.write(files, "csv-files")
     if not found.where("breaks").isEmpty():
-        told = records(spark, path, stages)
-        heads = stages.write(
-            told.where("first").select("file", F.col("value").alias("header")), "csv-heads")
-        rows = told.where("NOT first").select("file", "value")
+        heads, rows = records(spark, path, stages)
+        heads = stages.write(heads.withColumnRenamed("value", "header"), "csv-heads")
     else:
         heads = found.where("header IS NOT NULL").select(
             "file", F.regexp_replace("header", "\r$", "").alias("header"))
